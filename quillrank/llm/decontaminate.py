@@ -30,21 +30,35 @@ def seeds(hashes: str, n: Column) -> Column:
     Four-token hashes come first, so each mask adds two of them instead of hashing eight tokens anew.
     """
     h = F.col(hashes)
-    quads = F.transform(F.sequence(F.lit(1), n - 3), lambda i: F.xxhash64(F.element_at(h, i), F.element_at(h, i + 1), F.element_at(h, i + 2), F.element_at(h, i + 3)))
+    quads = F.transform(F.sequence(F.lit(1), n - 3), lambda i: F.xxhash64(F.get(h, i - 1), F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)))
     return F.when(n >= SPAN, quads)
 
 
 def masked(quads: Column, i: Column, mask: int) -> Column:
     """The seed of one mask at token i (from 1): the two quarters of the span that it keeps."""
     kept = [q for q in range(3) if MASKS[mask][4 * q] == "1"]
-    return F.xxhash64(F.lit(mask), *(F.element_at(quads, i + 4 * q) for q in kept))
+    return F.xxhash64(F.lit(mask), *(F.get(quads, i - 1 + 4 * q) for q in kept))
+
+
+def places_of() -> Column:
+    """Places of all spans of a text, from 1."""
+    return F.when(F.col("n") >= SPAN, F.sequence(F.lit(1), F.col("n") - SPAN + 1))
+
+
+def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """keep and the columns given, computed once a row.
+
+    Without the generator in between, the optimiser would put an array's expression in the place of each use of it, also
+    inside functions over its elements, and compute it anew for each element.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
 def _spans(df: DataFrame, *keep: str) -> DataFrame:
-    """keep, words, and the four-token hashes of each text with at least SPAN tokens."""
-    rows = df.select(*keep, tokens(common.text_of()).alias("words")).withColumn("n", F.size("words")).filter(F.col("n") >= SPAN)
-    rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
-    return rows.select(*keep, "words", "n", seeds("h", F.col("n")).alias("quads"))
+    """keep, words, and the four-token hashes of each text; these are null below SPAN tokens."""
+    rows = settled(df, list(keep), words=tokens(common.text_of()))
+    rows = settled(rows, [*keep, "words"], h=F.transform("words", lambda w: F.xxhash64(w)), n=F.size("words"))
+    return settled(rows, [*keep, "words", "n"], quads=seeds("h", F.col("n")))
 
 
 def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -54,18 +68,18 @@ def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     for each text, item and alignment.
     """
     items = _spans(benchmark.filter("item_id is not null"), "item_id")
-    places = items.select("item_id", F.col("words").alias("item"), F.explode(F.sequence(F.lit(1), F.col("n") - SPAN + 1)).alias("q"), "quads")
+    places = items.select("item_id", F.col("words").alias("item"), F.explode(places_of()).alias("q"), "quads")
     places = places.select("item_id", "item", "q", F.explode(F.array(*(masked(F.col("quads"), F.col("q"), k) for k in range(len(MASKS))))).alias("seed"))
     index = common.written(places.select("item_id", "q", "seed"))
     n_seeds = index.count()
     whole = common.written(items.select("item_id", F.col("words").alias("item")))
 
     texts = _spans(df.select(common.key_of().alias("key"), "text"), "key")
-    spots = F.sequence(F.lit(1), F.col("n") - SPAN + 1)
+    spots = places_of()
     if n_seeds <= BROADCAST_SEEDS:  # checked: some MB at most
         known = [r[0] for r in index.select("seed").distinct().collect()]
         hit = lambda i: masked(F.col("quads"), i, 0).isin(known) | masked(F.col("quads"), i, 1).isin(known) | masked(F.col("quads"), i, 2).isin(known)
-        texts = texts.withColumn("spots", F.filter(spots, hit)).filter(F.size("spots") > 0)
+        texts = settled(texts, ["key", "words", "quads"], spots=F.when(F.col("quads").isNotNull(), F.filter(spots, hit)))
         spots = F.col("spots")
         small = F.broadcast
     else:

@@ -102,10 +102,9 @@ class Network:
                 kernel = np.zeros_like(self.kernel)
                 n = act.shape[1]
                 flat = grad.reshape(-1, FILTERS)
+                hot = np.eye(_VOCAB)[x[b]]
                 for o in range(WIDTH):
-                    ids = x[b][:, o : o + n].ravel()
-                    for f in range(FILTERS):
-                        kernel[o, :, f] = np.bincount(ids, flat[:, f], _VOCAB)
+                    kernel[o] = hot[:, o : o + n].reshape(-1, _VOCAB).T @ flat
                 t += 1
                 for p, g, m_, v_ in zip(params, (kernel, flat.sum(0), pooled.T @ d, np.array([d.sum()])), m, v):
                     m_ += 0.1 * (g - m_)
