@@ -11,6 +11,9 @@ from . import common
 from . import superkmers as sk
 
 
+LARGEST_BLOCK = 1 << 16
+
+
 def _scan(t: np.ndarray, wanted: np.ndarray, sa: np.ndarray, free: np.ndarray, step: int) -> None:
     """One scan of induced sorting over sa, to the right (step 1) or left (-1), in blocks.
 
@@ -18,33 +21,32 @@ def _scan(t: np.ndarray, wanted: np.ndarray, sa: np.ndarray, free: np.ndarray, s
     that one of its own entries fills, so every entry that is read is final; blocks grow while they can.
     """
     n, at, size = len(t), 0, 256
-    view = sa[::step]
+    view, places, first = sa[::step], np.arange(LARGEST_BLOCK), np.ones(LARGEST_BLOCK, bool)
     while at < n:
-        block = view[at : at + size]
-        width = len(block)
-        where = np.flatnonzero(block > 0)
-        pred = block[where] - 1
-        ok = wanted[pred]
-        where, pred = where[ok], pred[ok]
-        if len(pred):
+        pred = view[at : at + size] - 1
+        width = len(pred)
+        where = ((pred >= 0) & wanted[pred]).nonzero()[0]
+        if count := len(where):
+            pred = pred[where]
             c = t[pred]
-            by = np.argsort(c, kind="stable")
+            by = c.argsort(kind="stable")
             s = c[by]
-            first = np.append(True, s[1:] != s[:-1])
-            rank = np.arange(len(s)) - np.flatnonzero(first)[np.cumsum(first) - 1]
-            target = np.empty(len(s), np.int64)
-            target[by] = free[s] + step * rank
-            seen = target if step > 0 else n - 1 - target
-            if (low := int(seen.min())) < at + width:
+            new = first[:count]
+            np.not_equal(s[1:], s[:-1], out=new[1:])
+            target = np.empty(count, np.int64)
+            rank = places[:count] - new.nonzero()[0][new.cumsum() - 1]
+            target[by] = free[s] + rank if step > 0 else free[s] - rank
+            low = int(target.min()) if step > 0 else n - 1 - int(target.max())
+            if low < at + width:
                 width = low - at
-                cut = int(np.searchsorted(where, width))
-                pred, target, c, size = pred[:cut], target[:cut], c[:cut], max(32, 2 * width)
+                cut = int(where.searchsorted(width))
+                pred, target, c, size = pred[:cut], target[:cut], c[:cut], min(max(32, 2 * width), LARGEST_BLOCK)
             else:
-                size = min(size * 2, 1 << 16)
+                size = min(size * 2, LARGEST_BLOCK)
             sa[target] = pred
             free[c] = target + step  # of equal symbols the last one counts
         else:
-            size = min(size * 2, 1 << 16)
+            size = min(size * 2, LARGEST_BLOCK)
         at += width
 
 
