@@ -32,10 +32,10 @@ def perspectives(df: DataFrame, *, part_turns: int = PART_TURNS, part_rows: int
     if large.isEmpty():
         rows = rows.withColumn("split", F.lit(0).cast("long"))
     else:  # the planner may broadcast the large blocks if they are few, and splits the join where one block is hot
-        large = large.withColumn("parts", F.ceil(F.col("rows") / part_rows))
-        same = rows["conv_id"].eqNullSafe(large["conv_id"]) & (rows["part"] == large["part"])
-        split = F.pmod(F.xxhash64(rows["turn"], rows["role"], rows["text"]), F.coalesce("parts", F.lit(1)))
-        rows = rows.join(large, same, "left").select(*rows, split.cast("long").alias("split"))
+        large = large.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("rows") / part_rows).alias("parts"))
+        same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
+        split = F.pmod(F.xxhash64("turn", "role", "text"), F.coalesce("parts", F.lit(1)))
+        rows = rows.join(large, same, "left").select("conv_id", "turn", "role", "text", "part", split.cast("long").alias("split"))
     talks = rows.groupBy("conv_id", "part", "split").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
     own = talks.select("*", F.explode(F.array_except(F.array_distinct(F.transform("said", lambda m: m["role"])), F.array(F.lit("system")))).alias("speaker"))
 

@@ -16,8 +16,17 @@ from . import superkmers as sk
 #: Bands and minima a band. A pair at similarity 0.8 shares no band with probability (1 - 0.8**7)**56 = 2e-6.
 BANDS, ROWS = 56, 7
 
-#: A bucket of at most so many texts of several components is compared pair by pair; a larger one is split by a second band.
-SMALL_BUCKET = 48
+#: Texts in a block; places of a signature.
+BLOCK, PLACES = 256, BANDS * ROWS
+
+#: Leaders that a bucket's texts meet before its components are compared.
+LEADERS = 3
+
+
+def floor_of(least: float) -> float:
+    """Share of equal places that a pair of the least similarity falls below once in three million."""
+    return least - 5 * (least * (1 - least) / PLACES) ** 0.5
+
 
 #: Ids of rows to drop up to which they are broadcast (8 bytes each).
 BROADCAST_IDS = 500_000
@@ -81,8 +90,8 @@ def features(df: DataFrame, k: int) -> DataFrame:
 
 def alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose signatures agree in a share of places that a pair of the wanted similarity hardly stays below."""
-    places = BANDS * ROWS
-    floor = least - 6.5 * (least * (1 - least) / places) ** 0.5
+    places = PLACES
+    floor = floor_of(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -113,6 +122,64 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of one bucket but different components. placed: band, no, node, label.
+
+    In a bucket with several components, the nodes outside its largest one are compared with all nodes, block by block:
+    a block is one row of about BLOCK signatures and texts, so rows grow with a bucket's blocks, not with its pairs, and
+    no bucket is gathered in one task. Pairs with like signatures are confirmed on whole sets there; a pair of several
+    buckets is confirmed in the first band that its signatures share.
+    """
+    floor = floor_of(percent / 100)
+    counts = placed.groupBy("band", "label").agg(F.count("*").alias("c"))
+    largest = F.max(F.struct("c", "label"))
+    mixed = counts.groupBy("band").agg(largest.alias("top"), F.sum("c").alias("n"), F.count("*").alias("labels")).filter("labels > 1")
+    mixed = mixed.select("band", F.col("top.label").alias("top"), "n", (F.col("n") - F.col("top.c")).alias("rest"))
+    rows = placed.join(mixed, "band").join(sigs.join(texts, "node"), "node")
+    packed = F.collect_list(F.struct("node", "label", "sig", "text"))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / BLOCK))
+    every = rows.groupBy("band", "no", deal("n").alias("i")).agg(packed.alias("x")).select("band", "no", "x")
+    others = rows.filter("label != top").groupBy("band", deal("rest").alias("j")).agg(packed.alias("y")).select("band", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = zstandard.ZstdDecompressor()
+
+        def opened(v):
+            return v.field(0).to_numpy(), v.field(1).to_numpy(), np.frombuffer(b"".join(v.field(2).to_pylist()), np.uint8).reshape(-1, PLACES), v.field(3)
+
+        for b in batches:
+            sets: dict[int, np.ndarray] = {}
+
+            def own(node: int, packed) -> np.ndarray:
+                if node not in sets:
+                    if len(sets) > 4096:
+                        sets.clear()
+                    sets[node] = shingle_sets([reader.decompress(packed.as_py())], k)[0]
+                return sets[node]
+
+            links = []
+            for r in range(b.num_rows):
+                no, (nx, lx, sx, tx), (ny, ly, sy, ty) = b.column(0)[r].as_py(), opened(b.column(1)[r].values), opened(b.column(2)[r].values)
+                for j in range(len(ny)):
+                    at = np.flatnonzero(lx != ly[j])
+                    same = sx[at] == sy[j]
+                    like = same.mean(axis=1) >= floor
+                    at = at[like][same[like].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == no]
+                    for i in at.tolist():
+                        p, q = own(int(nx[i]), tx[i]), own(int(ny[j]), ty[j])
+                        both = len(np.intersect1d(p, q, assume_unique=True))
+                        if 100 * both >= percent * (len(p) + len(q) - both):
+                            links.append((int(nx[i]), int(ny[j])))
+            yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["a", "b"])
+
+    return every.join(others, "band").select("no", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, no, node, label: the component of each node of a bucket, or itself."""
+    return members.join(labels, "node", "left").select("band", "no", "node", F.coalesce("label", "node").alias("label"))
+
+
 def texts_of(df: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """node, text of the nodes given, from the row with the smallest key of each; texts move compressed."""
 
@@ -132,9 +199,9 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     Sets are the distinct k-word shingles of the text with A-Z in lower case; fewer words are one shingle; null, empty
     and wordless texts have empty sets and link with nothing. Sets that share percent of their union are linked;
     component_id is the smallest doc_id that is reachable. Rows with equal sets are one node, so copies cost nothing.
-    Each bucket of each band links its texts to its smallest node (verified by signature, confirmed on whole sets), and
-    these links give components. Buckets that still hold several components are then compared across components: pair by
-    pair where small, after a split by a second band where large. A null doc_id comes last and gives component null.
+    Each bucket of each band links its texts to one leader (verified by signature, confirmed on whole sets), and these
+    links give components. In buckets that still hold several components, all nodes outside the largest one are compared
+    with all others, in blocks of signatures, so no link inside a bucket is lost. A null doc_id comes last and gives component null.
     Repeated rows are each returned; of rows with one doc_id all are kept or none. An empty table gives an empty one.
     """
     feats = common.written(features(df, k))
@@ -142,36 +209,29 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     classes = common.written(real.groupBy("node").agg(F.min("key").alias("rep")))
     sigs = real.select("node", "key", "sig").join(classes, "node").filter("key = rep").select("node", "sig").dropDuplicates(["node"])
 
-    rows = real.select("node", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z").select("band", "a")
-    members = common.written(rows.join(shared, "band").select("band", "a", "node").distinct())
-    stars = common.written(members.filter("node != a").select("a", F.col("node").alias("b")).distinct())
+    rows = real.select("node", F.posexplode("bands").alias("no", "band"))
+    # the leader of a bucket is its smallest node in an order of its own, so a large group meets many leaders
+    lead = F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node"))
+    shared = rows.groupBy("band").agg(lead.alias("a"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("band", F.col("a.node").alias("a"))
+    members = common.written(rows.join(shared, "band").select("band", "no", "a", "node").distinct())
+    stars = common.written(members.filter("node != a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     texts = common.written(texts_of(df, nodes, classes))
     sigs = common.written(sigs.join(nodes, "node", "left_semi"))
-    first = common.written(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
-    labels = common.written(components.components(first))
-
-    placed = members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed_ = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("band", "n")
-    mixed_ = common.written(placed.join(mixed_, "band"))
-
-    def across(frame: DataFrame) -> DataFrame:
-        """Pairs of nodes of different components in small buckets."""
-        x, y = (frame.select("band", F.col("node").alias(s), F.col("label").alias(f"l{s}")) for s in "ab")
-        return x.join(y, "band").filter("a < b and la != lb").select("a", "b").distinct()
-
-    large = mixed_.filter(F.col("n") > SMALL_BUCKET)
-    bands = real.select("node", "bands").join(large.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    second = large.join(bands, "node").select(F.explode("bands").alias("other"), "band", "node", "label").filter("other != band")
-    second = second.select(F.xxhash64("band", "other").alias("band"), "node", "label").distinct()
-    sized = second.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("a"), F.count("*").alias("n")).filter("lo != hi").select("band", "a", "n")
-    second = second.join(sized, "band")
-    pairs = across(mixed_.filter(F.col("n") <= SMALL_BUCKET)).unionByName(across(second.filter(F.col("n") <= SMALL_BUCKET)))
-    pairs = pairs.unionByName(second.filter((F.col("n") > SMALL_BUCKET) & (F.col("node") != F.col("a"))).select("a", F.col("node").alias("b")))
-    pairs = common.written(pairs.distinct().join(stars, ["a", "b"], "left_anti"))
-    again = confirmed(alike(pairs, sigs, percent / 100), texts, k, percent)
-    labels = components.components(common.written(first.unionByName(again)))
+    links = common.written(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
+    for turn in range(1, LEADERS):
+        placed = common.written(labelled(members, components.components(links)))
+        h = F.xxhash64("node", "band", F.lit(turn))
+        leads = placed.groupBy("band").agg(F.min(F.struct(h.alias("h"), "node", "label")).alias("a"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        leads = leads.filter("lo != hi").select("band", F.col("a.node").alias("a"), F.col("a.label").alias("la"))
+        more = placed.join(leads, "band").filter("label != la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        more = common.written(more.join(stars, ["a", "b"], "left_anti"))
+        stars = common.written(stars.unionByName(more))
+        links = common.written(links.unionByName(confirmed(alike(more, sigs, percent / 100), texts, k, percent)))
+
+    placed = common.written(labelled(members, components.components(links)))
+    links = common.written(links.unionByName(across(placed, sigs, texts, k, percent)))
+    labels = components.components(links)
 
     linked = labels.join(classes, "node")
     least = linked.groupBy("label").agg(F.min("rep").alias("component"))

@@ -26,7 +26,8 @@ def judge(k: int):
         at = u.first[owner] + own
         h = sk.spans(u.c, at, at + k, sk.BASE_WORD)
         order = np.argsort(h)
-        equal = np.append(False, h[order][1:] == h[order][:-1])
+        equal = np.zeros(len(order), bool)
+        equal[1:] = h[order][1:] == h[order][:-1]
         some = equal.copy()
         some[:-1] |= equal[1:]
         order = order[some]

@@ -170,7 +170,8 @@ def judge(k: int):
         bins = (h >> np.uint64(42)).astype(np.int64)
         some = np.flatnonzero(np.bincount(bins, minlength=1 << 22)[bins] > 1)
         order = some[np.argsort(h[some])]
-        equal = np.append(False, h[order][1:] == h[order][:-1])
+        equal = np.zeros(len(order), bool)
+        equal[1:] = h[order][1:] == h[order][:-1]
         equal[:-1] |= equal[1:]
         maybe = np.sort(order[equal])
         if len(maybe):
