@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,7 +137,7 @@ def pack(df: DataFrame, *, capacity: int = 2048, eos: int = 1, linear: float = 1
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]), used
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.PartEncoder(path, lambda e: np.array(e.ids, "<u4").tobytes())
+        encoder = tokens.PartEncoder(path, lambda ids: array("I", ids).tobytes(), "ids")
         end, used, docs, held = np.array([eos], "<u4").tobytes(), TaskContext.get().partitionId() * STRIDE, [], 0
         for b in common.chunks_by_bytes(batches, 1, 2 << 20):
             for doc, parts in zip(b.column(0).to_pylist(), encoder(b.column(1).to_pylist())):

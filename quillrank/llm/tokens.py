@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from . import common
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 #: Parts that are longer, or beyond so many, are encoded without being remembered.
-CACHE_PART_CHARS, CACHE_PARTS = 64, 400_000
+CACHE_PART_CHARS, CACHE_PARTS = 64, 600_000
 
 _tokenizers: dict[str, object] = {}
+_known: dict[tuple[str, str], dict] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -45,23 +47,34 @@ def tokenizer(path: str):
 class PartEncoder:
     """Encodes texts part by part and remembers the parts.
 
-    value: what to keep of an encoding (its length, or its ids). Words repeat, so most parts of a
-    batch are found in the memory and only the new ones go to the tokenizer, in one batch.
+    value: what to keep of a part's ids (their number, or themselves); kind: its name. Words repeat, so most parts of a batch
+    are found in the worker's memory, which later tasks share, and only new ones go to the tokenizer, in one batch.
     """
 
-    def __init__(self, path: str, value: Callable):
-        self.encode, self.value, self.known = tokenizer(path).encode_batch_fast, value, {}
+    def __init__(self, path: str, value: Callable, kind: str):
+        self.tokenizer, self.value = tokenizer(path), value
+        self.known = _known.setdefault((path, kind), {})
 
     def __call__(self, texts: list[str]) -> Iterator[list]:
         """For each text, the values of its parts in order."""
-        if len(self.known) > CACHE_PARTS:
-            self.known = {}
-        known, parted = self.known, [_CUT.split(t) for t in texts]
-        new = list({p for parts in parted for p in parts if p not in known})
-        once = {}
-        for at in range(0, len(new), 4096):
-            for p, e in zip(new[at : at + 4096], self.encode(new[at : at + 4096], add_special_tokens=False)):
-                (known if len(p) <= CACHE_PART_CHARS else once)[p] = self.value(e)
+        known, parted = self.known, [_CUT.split(t) if t else [] for t in texts]
+        new, once = {p for parts in parted for p in parts if p not in known}, {}
+
+        def keep(part: str, ids: list[int]) -> None:
+            (known if len(part) <= CACHE_PART_CHARS and len(known) < CACHE_PARTS else once)[part] = self.value(ids)
+
+        # new parts that start with a space and end without white space stand in runs, as they do in texts
+        alone = [p for p in new if p[0] != " " or p[-1].isspace() or len(p) > CACHE_PART_CHARS]
+        runs = [p for p in new.difference(alone)]
+        runs = [runs[i : i + 256] for i in range(0, len(runs), 256)]
+        for parts, e in zip(runs, self.tokenizer.encode_batch(list(map("".join, runs)), add_special_tokens=False)):
+            ids, ends = e.ids, np.cumsum([len(p) for p in parts])
+            at = np.searchsorted(np.fromiter((o[0] for o in e.offsets), np.int64, len(ids)), ends).tolist()
+            for p, i, j in zip(parts, [0, *at], at):
+                keep(p, ids[i:j])
+        for i in range(0, len(alone), 4096):
+            for p, e in zip(alone[i : i + 4096], self.tokenizer.encode_batch_fast(alone[i : i + 4096], add_special_tokens=False)):
+                keep(p, e.ids)
         if once:
             return ([known[p] if p in known else once[p] for p in parts] for parts in parted)
         return (list(map(known.__getitem__, parts)) for parts in parted)
@@ -78,7 +91,7 @@ def token_counts(df: DataFrame, *, limit: int = 512, tokenizer_file: str | None
     path = tokenizer_file or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(path, len)
+        encoder = PartEncoder(path, len, "length")
         for b in common.chunks_by_bytes(batches, 1, batch_bytes):
             sizes = pa.compute.binary_length(b.column(1)).cast(pa.int64())
             counts = pa.array([sum(x) for x in encoder(b.column(1).to_pylist())], pa.int64())
