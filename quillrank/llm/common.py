@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -57,6 +58,50 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What tasks of one kind keep in a worker process for later ones.
+_kept: dict[object, dict] = {}
+
+
+def kept(kind: object) -> dict:
+    """The memory of one kind of task in this worker process."""
+    return _kept.setdefault(kind, {})
+
+
+def drop_kept(kind: object) -> None:
+    """Drops what tasks of other kinds keep."""
+    for other in [x for x in _kept if x != kind]:
+        del _kept[other]
+
+
+def trim() -> None:
+    """Gives freed memory back to the system; without glibc only that of Arrow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def lean(run: Callable, kind: object = None) -> Callable:
+    """run (for mapInArrow) in workers that hold no more than they use.
+
+    Workers are reused by later stages, so freed memory goes back every few batches and at the end of a task, and a
+    task drops what those of other kinds keep.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept(kind)
+        try:
+            for i, batch in enumerate(run(batches)):
+                yield batch
+                if i % 8 == 7:
+                    trim()
+        finally:
+            trim()
+
+    return wrapped
+
+
 def chunks_by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose text holds about `limit` bytes each; a longer row stands alone."""
     for batch in batches:

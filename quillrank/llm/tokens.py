@@ -20,7 +20,6 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 CACHE_PART_CHARS, CACHE_PARTS = 64, 600_000
 
 _tokenizers: dict[str, object] = {}
-_known: dict[tuple[str, str], dict] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -53,7 +52,7 @@ class PartEncoder:
 
     def __init__(self, path: str, value: Callable, kind: str):
         self.tokenizer, self.value = tokenizer(path), value
-        self.known = _known.setdefault((path, kind), {})
+        self.known = common.kept((path, kind))
 
     def __call__(self, texts: list[str]) -> Iterator[list]:
         """For each text, the values of its parts in order."""
@@ -99,7 +98,7 @@ def token_counts(df: DataFrame, *, limit: int = 512, tokenizer_file: str | None
 
     rows = df.select("doc_id", common.text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(common.lean(run, (path, "length")), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
