@@ -82,10 +82,10 @@ def trim() -> None:
         pass
 
 
-def lean(run: Callable, kind: object = None) -> Callable:
+def lean(run: Callable, kind: object = None, every: int = 1) -> Callable:
     """run (for mapInArrow) in workers that hold no more than they use.
 
-    Workers are reused by later stages, so freed memory goes back every few batches and at the end of a task, and a
+    Workers are reused by later stages, so freed memory goes back after `every` batches and at the end of a task, and a
     task drops what those of other kinds keep.
     """
 
@@ -94,7 +94,7 @@ def lean(run: Callable, kind: object = None) -> Callable:
         try:
             for i, batch in enumerate(run(batches)):
                 yield batch
-                if i % 8 == 7:
+                if (i + 1) % every == 0:
                     trim()
         finally:
             trim()
