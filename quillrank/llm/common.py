@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Stands for a null doc_id inside joins; larger than any real id, so null ids come last.
 NULL_KEY = (1 << 63) - 1
@@ -58,6 +60,23 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of an Arrow batch sent to a worker; a longer row stands alone.
+BATCH_BYTES = 4 << 20
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str, kind: object = None, every: int = 1) -> DataFrame:
+    """df.mapInArrow with lean() workers and batches of BATCH_BYTES.
+
+    The session's default of 64 MB a batch is held by the JVM, the worker and the copies it makes, for every task of an
+    executor at once. A smaller setting of the session stays.
+    """
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    set_to = re.fullmatch(r"(\d+)b?", str(conf.get(name, "64m")))
+    if not set_to or not 0 < int(set_to[1]) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(lean(run, kind, every), schema)
+
+
 #: What tasks of one kind keep in a worker process for later ones.
 _kept: dict[object, dict] = {}
 

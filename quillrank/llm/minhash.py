@@ -85,7 +85,7 @@ def features(df: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "n_shingles", "bands", "sig"])
 
     rows = df.select(common.key_of().alias("key"), common.text_of().alias("text"))
-    return rows.mapInArrow(common.lean(run), "key long, node long, n_shingles long, bands array<long>, sig binary")
+    return common.map_arrow(rows, run, "key long, node long, n_shingles long, bands array<long>, sig binary")
 
 
 def alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -100,7 +100,7 @@ def alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
                 yield b.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= floor))
 
     both = pairs.join(sigs.withColumnsRenamed({"node": "a", "sig": "sa"}), "a").join(sigs.withColumnsRenamed({"node": "b", "sig": "sb"}), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(common.lean(run), "a long, b long")
+    return common.map_arrow(both.select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -119,7 +119,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b").join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(common.lean(run), "a long, b long")
+    return common.map_arrow(both.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
 def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -172,7 +172,7 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
                             links.append((int(nx[i]), int(ny[j])))
             yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["a", "b"])
 
-    return every.join(others, "band").select("no", "x", "y").mapInArrow(common.lean(run), "a long, b long").distinct()
+    return common.map_arrow(every.join(others, "band").select("no", "x", "y"), run, "a long, b long").distinct()
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def texts_of(df: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([packer.compress(x) for x in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["key", "text"])
 
     wanted = nodes.join(classes, "node").select("node", F.col("rep").alias("key"))
-    packed = df.select(common.key_of().alias("key"), common.text_of().alias("text")).mapInArrow(common.lean(pack), "key long, text binary")
+    packed = common.map_arrow(df.select(common.key_of().alias("key"), common.text_of().alias("text")), pack, "key long, text binary")
     return packed.join(wanted, "key").select("node", "text").dropDuplicates(["node"])
 
 

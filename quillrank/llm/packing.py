@@ -151,7 +151,7 @@ def pack(df: DataFrame, *, capacity: int = 2048, eos: int = 1, linear: float = 1
         if docs:
             yield shard(docs, used)[0]
 
-    return df.select(df["doc_id"].cast("long").alias("doc_id"), common.text_of().alias("text")).mapInArrow(common.lean(run, (path, "ids"), 4), SCHEMA)
+    return common.map_arrow(df.select(df["doc_id"].cast("long").alias("doc_id"), common.text_of().alias("text")), run, SCHEMA, (path, "ids"), 4)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,7 +100,7 @@ def compression_rules(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], ["doc_id", *names])
 
-    return df.select("doc_id", common.text_of().alias("text")).mapInArrow(common.lean(run), f"doc_id {kind}, {SCHEMA}")
+    return common.map_arrow(df.select("doc_id", common.text_of().alias("text")), run, f"doc_id {kind}, {SCHEMA}")
 
 
 def keep_passing(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
@@ -117,7 +117,7 @@ def keep_passing(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
             yield b.filter(pa.array(keep, pa.bool_()))
 
     at = df.columns.index("text")
-    return df.mapInArrow(common.lean(run), df.schema)
+    return common.map_arrow(df, run, df.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,7 +205,7 @@ def scan(df: DataFrame, *, sample_rows: int = 500, recall: float = 0.98) -> Data
             base = pa.array([hashlib.sha256(written_spans([y for y in x if y[1] < 3]).encode()).hexdigest() for x in found])
             yield pa.RecordBatch.from_arrays([b.column(0), *counts, base, pa.array(map(written_spans, found), pa.string())], ["doc_id", *(x.split()[0] for x in SCHEMA.split(", "))])
 
-    return df.select("doc_id", common.text_of().alias("text")).mapInArrow(common.lean(run), f"doc_id {kind}, {SCHEMA}")
+    return common.map_arrow(df.select("doc_id", common.text_of().alias("text")), run, f"doc_id {kind}, {SCHEMA}")
 
 
 def redact(df: DataFrame, *, mark: str = "[secret]", sample_rows: int = 500, recall: float = 0.98) -> DataFrame:
@@ -228,7 +228,7 @@ def redact(df: DataFrame, *, mark: str = "[secret]", sample_rows: int = 500, rec
             yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
 
     at = df.columns.index("text")
-    done = df.mapInArrow(common.lean(run), df.schema)
+    done = common.map_arrow(df, run, df.schema)
     if "n_chars" in df.columns:
         done = done.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(df.schema["n_chars"].dataType))
     return done

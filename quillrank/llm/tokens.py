@@ -98,7 +98,7 @@ def token_counts(df: DataFrame, *, limit: int = 512, tokenizer_file: str | None
 
     rows = df.select("doc_id", common.text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(common.lean(run, (path, "length"), 4), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return common.map_arrow(rows, run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean", (path, "length"), 4)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
