@@ -1,4 +1,4 @@
-"""Benchmark decontamination by spaced seeds, with DataFrame functions only."""
+"""Benchmark decontamination by runs that every overlap holds, with DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -7,42 +7,40 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Fixed masks over SPAN tokens; a token under 0 is ignored. Whatever two tokens of a span differ, some mask spares
-#: one of any single one, and pairs that lie in one third.
-SPAN = 12
-MASKS = ("111100001111", "000011111111", "111111110000")
-
 #: Seeds of the benchmark up to which they are sent to all executors (8 bytes each, and their places).
 BROADCAST_SEEDS = 200_000
 
-#: A passage leaks if at least LEAST tokens around a hit (or the whole item, if shorter) agree in SHARE of the places.
-REACH, LEAST, SHARE = 6, 16, 0.8
-
+#: A passage leaks if at least LEAST tokens of it (or the whole item, if shorter) agree in SHARE of the places. A window
+#: of twice LEAST or more that agrees so has a half that does, so those that hold a hit end within REACH of it.
+LEAST, SHARE = 16, 0.8
+REACH = 2 * LEAST - 2
 
-def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+#: What a place that differs takes away, where one that agrees adds 1: windows of SHARE or more sum up to 0 or more.
+COST = round(SHARE / (1 - SHARE))
 
 
-def seeds(hashes: str, n: Column) -> Column:
-    """For each span of the hashed tokens: an array with a hash for each mask.
+def run_of(n: int) -> int:
+    """Tokens that agree in a row, at least, in n tokens that agree in SHARE of the places.
 
-    Four-token hashes come first, so each mask adds two of them instead of hashing eight tokens anew.
+    n - w tokens in the w + 1 gaps of w others; 4 for every n of 16 or more, since w is at most n / 5.
     """
-    h = F.col(hashes)
-    quads = F.transform(F.sequence(F.lit(1), n - 3), lambda i: F.xxhash64(F.get(h, i - 1), F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)))
-    return F.when(n >= SPAN, quads)
+    wrong = n // (COST + 1)
+    return -(-(n - wrong) // (wrong + 1))
+
+
+def tokens(text: Column) -> Column:
+    """Lower-cased runs of letters and digits."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def masked(quads: Column, i: Column, mask: int) -> Column:
-    """The seed of one mask at token i (from 1): the two quarters of the span that it keeps."""
-    kept = [q for q in range(3) if MASKS[mask][4 * q] == "1"]
-    return F.xxhash64(F.lit(mask), *(F.get(quads, i - 1 + 4 * q) for q in kept))
+def seed(hashes: str, i: Column, k: int) -> Column:
+    """Hash of k tokens from token i (from 1) of a hashed text."""
+    return F.xxhash64(F.lit(k), *(F.get(hashes, i - 1 + j) for j in range(k)))
 
 
-def places_of() -> Column:
-    """Places of all spans of a text, from 1."""
-    return F.when(F.col("n") >= SPAN, F.sequence(F.lit(1), F.col("n") - SPAN + 1))
+def places_of(k: int) -> Column:
+    """Places of all runs of k tokens of a text, from 1."""
+    return F.when(F.col("n") >= k, F.sequence(F.lit(1), F.col("n") - k + 1)).otherwise(F.array().cast("array<int>"))
 
 
 def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
@@ -54,50 +52,68 @@ def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
-def _spans(df: DataFrame, *keep: str) -> DataFrame:
-    """keep, words, and the four-token hashes of each text; these are null below SPAN tokens."""
+def _hashed(df: DataFrame, *keep: str) -> DataFrame:
+    """keep, words, their hashes h, and their number n."""
     rows = settled(df, list(keep), words=tokens(common.text_of()))
-    rows = settled(rows, [*keep, "words"], h=F.transform("words", lambda w: F.xxhash64(w)), n=F.size("words"))
-    return settled(rows, [*keep, "words", "n"], quads=seeds("h", F.col("n")))
+    return settled(rows, [*keep, "words"], h=F.transform("words", lambda w: F.xxhash64(w)), n=F.size("words"))
 
 
 def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """key, item_id, at, item_at, length, same: verified overlaps of df's texts with benchmark items.
+    """key, item_id, shift, at, item_at, end, same: verified overlaps of df's texts with benchmark items.
 
-    at and item_at: first token of the overlap in the text and in the item; same: how many of its tokens agree. One row
-    for each text, item and alignment.
+    at and item_at: first token of the overlap in the text and in the item; end: that after its last one in the text;
+    same: how many tokens agree, at most, in the windows that make it up. One row for each text, item and alignment
+    (shift: at - item_at).
     """
-    items = _spans(benchmark.filter("item_id is not null"), "item_id")
-    places = items.select("item_id", F.col("words").alias("item"), F.explode(places_of()).alias("q"), "quads")
-    places = places.select("item_id", "item", "q", F.explode(F.array(*(masked(F.col("quads"), F.col("q"), k) for k in range(len(MASKS))))).alias("seed"))
-    index = common.written(places.select("item_id", "q", "seed"))
+    items = common.written(_hashed(benchmark.filter("item_id is not null"), "item_id").filter("n > 0"))
+    # whole items of less than LEAST tokens hold shorter runs
+    k_of = F.element_at(F.array(*(F.lit(run_of(n)) for n in range(1, LEAST + 1))), F.least(F.col("n"), F.lit(LEAST)))
+    runs = sorted(r[0] for r in items.select(k_of).distinct().collect())
+    places = items.withColumn("k", k_of)
+    places = [places.filter(F.col("k") == k).select("item_id", "k", "h", F.explode(places_of(k)).alias("q")).select("item_id", "k", "q", seed("h", F.col("q"), k).alias("seed")) for k in runs]
+    index = items.select("item_id", F.lit(0).alias("k"), F.lit(0).alias("q"), F.lit(0).cast("long").alias("seed")).limit(0)
+    for some in places:
+        index = index.unionByName(some)
+    index = common.written(index)
     n_seeds = index.count()
-    whole = common.written(items.select("item_id", F.col("words").alias("item")))
+    whole = items.select("item_id", F.col("words").alias("item"))
 
-    texts = _spans(df.select(common.key_of().alias("key"), "text"), "key")
-    spots = places_of()
+    around = lambda p: F.slice("words", F.greatest(p - REACH, F.lit(1)), F.least(F.lit(REACH), p - 1) + REACH + 1)
+    texts = _hashed(df.select(common.key_of().alias("key"), "text"), "key")
     if n_seeds <= BROADCAST_SEEDS:  # checked: some MB at most
-        known = [r[0] for r in index.select("seed").distinct().collect()]
-        hit = lambda i: masked(F.col("quads"), i, 0).isin(known) | masked(F.col("quads"), i, 1).isin(known) | masked(F.col("quads"), i, 2).isin(known)
-        texts = settled(texts, ["key", "words", "quads"], spots=F.when(F.col("quads").isNotNull(), F.filter(spots, hit)))
-        spots = F.col("spots")
-        small = F.broadcast
-    else:
-        small = lambda x: x
-    hits = texts.select("key", "words", "quads", F.explode(spots).alias("p"))
-    hits = hits.select("key", "words", "p", F.explode(F.array(*(masked(F.col("quads"), F.col("p"), k) for k in range(len(MASKS))))).alias("seed"))
-    if n_seeds > BROADCAST_SEEDS:  # too many for every executor: only keys and places move, and the texts come back after
-        found = hits.select("key", "p", "seed").join(index, "seed").select("key", "item_id", "p", "q").distinct()
-        hits = found.join(texts.select("key", "words"), "key")
-    else:
-        hits = hits.join(small(index), "seed").select("key", "words", "item_id", "p", "q")
-    pairs = hits.join(small(whole) if n_seeds <= BROADCAST_SEEDS else whole, "item_id")
-    left = F.least(F.lit(REACH), F.col("p") - 1, F.col("q") - 1)
-    right = F.least(F.lit(SPAN + REACH), F.size("words") - F.col("p") + 1, F.size("item") - F.col("q") + 1)
-    pairs = pairs.withColumn("left", left).withColumn("length", left + right)
-    pairs = pairs.withColumn("same", F.size(F.filter(F.sequence(F.lit(0), F.col("length") - 1), lambda i: F.element_at(F.col("words"), F.col("p") - F.col("left") + i) == F.element_at(F.col("item"), F.col("q") - F.col("left") + i))))
-    sure = pairs.filter((F.col("same") >= SHARE * F.col("length")) & (F.col("length") >= F.least(F.lit(LEAST), F.size("item"))))
-    sure = sure.select("key", "item_id", (F.col("p") - F.col("left") - 1).alias("at"), (F.col("q") - F.col("left") - 1).alias("item_at"), "length", "same")
+        known = {k: [r[0] for r in index.filter(F.col("k") == k).select("seed").distinct().collect()] for k in runs}
+
+        def spots_of(k: int) -> Column:
+            spots = F.filter(places_of(k), lambda i: seed("h", i, k).isin(known[k]))
+            return F.transform(spots, lambda i: F.struct(i.alias("p"), seed("h", i, k).alias("seed"), around(i).alias("near")))
+
+        spots = F.concat(*map(spots_of, runs)) if runs else F.array().cast("array<struct<p:int,seed:bigint,near:array<string>>>")
+        hits = texts.select("key", F.inline(spots))
+        pairs = hits.join(F.broadcast(index.select("seed", "item_id", "q")), "seed").join(F.broadcast(whole), "item_id")
+    else:  # too many for every executor: only keys and places move, and the texts come back after
+        texts = texts.withColumn("row", F.xxhash64("words"))
+        spots_of = lambda k: F.transform(places_of(k), lambda i: F.struct(i.alias("p"), seed("h", i, k).alias("seed")))
+        hits = texts.select("key", "row", F.inline(F.concat(*map(spots_of, runs))))
+        found = hits.join(index, "seed").select("key", "row", "item_id", "p", "q").distinct()
+        pairs = found.join(texts.select("key", "row", "words").dropDuplicates(["key", "row"]), ["key", "row"])
+        pairs = pairs.select("key", "item_id", "p", "q", around(F.col("p")).alias("near")).join(whole, "item_id")
+    pairs = pairs.withColumn("before", F.least(F.lit(REACH), F.col("p") - 1))
+    pairs = pairs.withColumn("left", F.least("before", F.col("q") - 1))
+    right = F.least(F.size("near") - F.col("before"), F.size("item") - F.col("q") + 1)
+    pairs = settled(pairs, ["key", "item_id", "p", "q", "near", "item", "before", "left"], length=F.col("left") + right, need=F.least(F.lit(LEAST), F.size("item"))).filter("length >= need")
+    steps = F.zip_with(F.slice("near", F.col("before") - F.col("left") + 1, F.col("length")), F.slice("item", F.col("q") - F.col("left"), F.col("length")), lambda a, b: F.when(a == b, 1).otherwise(-COST))
+    sums = F.aggregate(steps, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    pairs = settled(pairs, ["key", "item_id", "p", "q", "left", "length", "need"], sums=sums)
+    # a window from i to j (both from 0, j after its last token) agrees well enough if the sum does not fall in it
+    fits = lambda i, j: F.get("sums", j) >= F.get("sums", i)
+    starts = lambda j: F.sequence(F.lit(0), j - F.col("need"))
+    ends = F.filter(F.sequence(F.col("need"), F.col("length")), lambda j: F.exists(starts(j), lambda i: fits(i, j)))
+    sure = settled(pairs, ["key", "item_id", "p", "q", "left", "need", "sums"], ends=ends).filter(F.size("ends") > 0)
+    sure = settled(sure, ["key", "item_id", "p", "q", "left", "need", "sums"], j=F.element_at("ends", -1))
+    sure = settled(sure, ["key", "item_id", "p", "q", "left", "sums", "j"], i=F.get(F.filter(starts(F.col("j")), lambda i: fits(i, F.col("j"))), 0))
+    length = F.col("j") - F.col("i")
+    gain = F.get("sums", F.col("j")) - F.get("sums", F.col("i"))
+    sure = sure.select("key", "item_id", (F.col("p") - F.col("left") - 1 + F.col("i")).alias("at"), (F.col("q") - F.col("left") - 1 + F.col("i")).alias("item_at"), length.alias("length"), ((gain + COST * length) / (COST + 1)).cast("int").alias("same"))
     return sure.groupBy("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.min("at").alias("at"), F.min("item_at").alias("item_at"), F.max(F.col("at") + F.col("length")).alias("end"), F.max("same").alias("same"))
 
 
@@ -105,9 +121,9 @@ def report(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids for every row of df (doc_id, text; others are ignored).
 
     benchmark: item_id, text. Tokens are lower-cased runs of letters and digits, so punctuation and case do not matter.
-    A text leaks an item if a spaced seed of both agrees and at least 0.8 of the tokens in reach of the hit agree, over
-    16 tokens or the whole item. Items and texts below 12 tokens have no seeds and never match. Null texts are empty;
-    items with a null id are ignored. A null doc_id comes last in joins and is returned as null. Rows with one doc_id
+    A text leaks an item if on some alignment at least 0.8 of the tokens agree over 16 tokens or more, or over the whole
+    item if that is shorter; an item of fewer than 5 tokens has to stand there as it is. Candidates are runs that every
+    such overlap holds, so none is missed. Null texts are empty; items with a null id or without tokens are ignored. A null doc_id comes last in joins and is returned as null. Rows with one doc_id
     share what is found in any of them. Empty tables give an empty result, or nothing contaminated.
     """
     found = leaks(df, benchmark).groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))

@@ -149,6 +149,37 @@ def test_decontamination(spark, empty):
     assert decontaminate.clean(df, bench.limit(0)).count() == 6
 
 
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_decontamination_by_rule(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    sizes = [5, 8, 11, 12, 15, 16, 17, 24, 31, 58]
+    items = [[word() for _ in range(n)] for n in sizes]
+    texts = []
+    for item in items:
+        every = [[w if i % m != m - 1 else word() for i, w in enumerate(item)] for m in (5, 6)]
+        drawn = [[word() if r.random() < p else w for w in item] for p in (0.1, 0.15, 0.2, 0.25, 0.3) for _ in range(4)]
+        for x in [*every, *drawn, item[: len(item) // 2], item[3:19]]:
+            texts += [x, [word() for _ in range(40)] + x + [word() for _ in range(40)]]
+    expect = []
+    for t in texts:
+        found = []
+        for k, item in enumerate(items):
+            need = min(16, len(item))
+            for shift in range(-len(item), len(t)):
+                same = [0 <= shift + i < len(t) and t[shift + i] == w for i, w in enumerate(item)]
+                inside = [i for i in range(len(item)) if 0 <= shift + i < len(t)]
+                if any(sum(same[i:j]) * 5 >= 4 * (j - i) for i in inside for j in range(i + need, inside[-1] + 2)):
+                    found.append(k)
+                    break
+        expect.append(found)
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame([(None if i % 3 == 0 else i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x.doc_id: list(x.item_ids) for x in decontaminate.report(df, bench).filter("doc_id is not null").collect()}
+    assert got == {i: x for i, x in enumerate(expect) if i % 3} and 0 < sum(map(bool, expect)) < len(expect)
+
+
 def test_quality(docs, empty):
     got = {r.doc_id: r for r in quality.compression_rules(docs).collect()}
     for i, t, *_ in corpus():
