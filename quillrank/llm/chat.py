@@ -2,42 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Turns that one rendered part covers, and rows from which on such a block is split further.
+#: Turns that one rendered part covers, and rows of such a block beyond which it is cut further.
 PART_TURNS, PART_ROWS = 256, 4096
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
 def perspectives(df: DataFrame, *, part_turns: int = PART_TURNS, part_rows: int = PART_ROWS) -> DataFrame:
-    """conv_id, part, split, speaker, n_turns, n_own, text, masks for each participant of each dialogue.
+    """conv_id, part, split, speaker, n_turns, n_own, text, masks for each participant and part of each dialogue.
 
     df: conv_id, turn, role, text; others are ignored. A participant is any role but `system`. In a participant's row its
     own messages are the assistant's, those of others are users named by their role, and system messages stay system.
     masks: "start:end" spans of text, in code points, comma-joined, where loss is taken: the participant's own contents
     with their end mark.
     A dialogue is rendered in parts of part_turns turn numbers (part 0 holds turns 0 to 255), so no group grows with a
-    dialogue's length; a block with more than part_rows rows, as repeated turns give, is split by hash (split > 0).
+    dialogue's length; a block with more than part_rows rows, as repeated turns give, is cut in the order of its turns
+    into pieces of part_rows rows (split 0, 1, ...). A participant who is silent in a part has a row there without masks.
     Equal turns come in order of role and text; repeated rows are rendered as often as they stand. A null role speaks
     as `unknown`; a null text is empty; a null turn comes before all others, in part 0; null conv_ids are one dialogue.
     A dialogue without participants, and an empty table, give no rows.
     """
     rows = df.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), common.text_of().alias("text"))
     rows = rows.withColumn("part", F.floor(F.coalesce("turn", F.lit(0)) / part_turns).cast("long"))
-    large = rows.groupBy("conv_id", "part").agg(F.count("*").alias("rows")).filter(F.col("rows") > part_rows)
+    roles = F.array_except(F.collect_set("role"), F.array(F.lit("system")))
+    blocks = common.written(rows.groupBy("conv_id", "part").agg(F.count("*").alias("rows"), roles.alias("roles")))
+    large = blocks.filter(F.col("rows") > part_rows)
     if large.isEmpty():
         rows = rows.withColumn("split", F.lit(0).cast("long"))
-    else:  # the planner may broadcast the large blocks if they are few, and splits the join where one block is hot
-        large = large.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("rows") / part_rows).alias("parts"))
-        same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
-        split = F.pmod(F.xxhash64("turn", "role", "text"), F.coalesce("parts", F.lit(1)))
-        rows = rows.join(large, same, "left").select("conv_id", "turn", "role", "text", "part", split.cast("long").alias("split"))
+    else:
+        rows = _cut(rows, large, part_rows)
     talks = rows.groupBy("conv_id", "part", "split").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
-    own = talks.select("*", F.explode(F.array_except(F.array_distinct(F.transform("said", lambda m: m["role"])), F.array(F.lit("system")))).alias("speaker"))
+    here = F.array_except(F.array_distinct(F.transform("said", lambda m: m["role"])), F.array(F.lit("system")))
+    several = blocks.groupBy("conv_id").agg(F.count("*").alias("n"), F.max("rows").alias("most")).filter((F.col("n") > 1) | (F.col("most") > part_rows)).select(F.col("conv_id").alias("c"))
+    if not several.isEmpty():  # only dialogues of several pieces may have participants who are silent in one
+        all_roles = blocks.join(several, F.col("conv_id").eqNullSafe(F.col("c"))).select("c", F.explode("roles").alias("role")).groupBy("c").agg(F.collect_set("role").alias("everyone"))
+        talks = talks.join(all_roles, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+        here = F.coalesce("everyone", here)
+    own = talks.select("conv_id", "part", "split", "said", F.explode(here).alias("speaker"))
 
     def head(m):
         who = F.when(m["role"] == F.col("speaker"), F.lit("assistant")).when(m["role"] == "system", F.lit("system")).otherwise(F.concat(F.lit("user name="), m["role"]))
@@ -52,6 +58,24 @@ def perspectives(df: DataFrame, *, part_turns: int = PART_TURNS, part_rows: int
     return shown.select("conv_id", "part", "split", "speaker", F.size("lines").cast("long").alias("n_turns"), F.size(F.filter("lines", lambda x: x["own"])).cast("long").alias("n_own"), text.alias("text"), F.array_join(spans, ",").alias("masks"))
 
 
+def _cut(rows: DataFrame, large: DataFrame, part_rows: int) -> DataFrame:
+    """rows with split: the place of a row among those of its block, in pieces of part_rows rows; 0 in other blocks.
+
+    Rows of large blocks are sorted over all tasks, and their places follow from the rows that earlier tasks hold of the
+    block, so no block is gathered in one task. Equal rows may be dealt over tasks in any order.
+    """
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
+    large = large.select(F.col("conv_id").alias("c"), F.col("part").alias("p"))
+    kept = rows.join(large, same, "left_anti").withColumn("split", F.lit(0).cast("long"))
+    some = rows.join(large, same, "left_semi").withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
+    some = common.written(some.orderBy("conv_id", "part", "turn", "role", "text", "tie").select(*rows.columns, F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")))
+    held = some.groupBy("conv_id", "part", "task").agg(F.count("*").alias("held"), F.min("at").alias("first"))
+    before = F.sum("held").over(Window.partitionBy("conv_id", "part").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    held = held.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("task").alias("t"), (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    some = some.join(held, same & (F.col("task") == F.col("t")))
+    return kept.unionByName(some.select(*rows.columns, F.floor((F.col("at") + F.col("shift")) / part_rows).cast("long").alias("split")))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet")).withColumn("text", F.sha2("text", 256))
 

@@ -240,6 +240,27 @@ def test_chat(spark):
     assert chat.perspectives(many, part_rows=10).agg(F.sum("n_turns")).first()[0] == 60
 
 
+@pytest.mark.parametrize("part_rows", [4096, 50])
+def test_long_chat(spark, part_rows):
+    """Who is silent in a part still has a row there, and large blocks are cut in the order of their turns."""
+    data = [(1, t, "a" if t < 300 else "b" if t % 2 else "c", f"t{t}") for t in range(600)] + [(1, 299, "system", "note")]
+    data += [(None, t % 7, "ab"[t % 2], f"m{t % 40}") for t in range(400)] + [(2, 0, "x", "hi"), (2, 1, "y", None)]
+    said = {}
+    for c, t, role, text in data:
+        said.setdefault((c, t // 256), []).append((t, role, text or ""))
+    expect = {}
+    for (c, part), rows in said.items():
+        rows.sort()
+        for split in range(-(-len(rows) // part_rows)):
+            piece = rows[split * part_rows : (split + 1) * part_rows]
+            for who in {role for k, _, role, _ in data if k == c} - {"system"}:
+                name = lambda r: "assistant" if r == who else r if r == "system" else f"user name={r}"
+                expect[c, part, split, who] = (len(piece), sum(r == who for _, r, _ in piece), "".join(f"<|im_start|>{name(r)}\n{x}<|im_end|>\n" for _, r, x in piece))
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {(r.conv_id, r.part, r.split, r.speaker): (r.n_turns, r.n_own, r.text) for r in chat.perspectives(df, part_rows=part_rows).collect()}
+    assert got == expect
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
