@@ -127,8 +127,8 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
 
     In a bucket with several components, the nodes outside its largest one are compared with all nodes, block by block:
     a block is one row of about BLOCK signatures and texts, so rows grow with a bucket's blocks, not with its pairs, and
-    no bucket is gathered in one task. Pairs with like signatures are confirmed on whole sets there; a pair of several
-    buckets is confirmed in the first band that its signatures share.
+    no bucket is gathered in one task. Pairs with like signatures are confirmed on whole sets there, in every bucket
+    that they share: signatures hold 8 bits of each minimum, so they do not tell which buckets those are.
     """
     floor = floor_of(percent / 100)
     counts = placed.groupBy("band", "label").agg(F.count("*").alias("c"))
@@ -138,7 +138,7 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
     rows = placed.join(mixed, "band").join(sigs.join(texts, "node"), "node")
     packed = F.collect_list(F.struct("node", "label", "sig", "text"))
     deal = lambda n: F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / BLOCK))
-    every = rows.groupBy("band", "no", deal("n").alias("i")).agg(packed.alias("x")).select("band", "no", "x")
+    every = rows.groupBy("band", deal("n").alias("i")).agg(packed.alias("x")).select("band", "x")
     others = rows.filter("label != top").groupBy("band", deal("rest").alias("j")).agg(packed.alias("y")).select("band", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +159,10 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
 
             links = []
             for r in range(b.num_rows):
-                no, (nx, lx, sx, tx), (ny, ly, sy, ty) = b.column(0)[r].as_py(), opened(b.column(1)[r].values), opened(b.column(2)[r].values)
+                (nx, lx, sx, tx), (ny, ly, sy, ty) = opened(b.column(0)[r].values), opened(b.column(1)[r].values)
                 for j in range(len(ny)):
                     at = np.flatnonzero(lx != ly[j])
-                    same = sx[at] == sy[j]
-                    like = same.mean(axis=1) >= floor
-                    at = at[like][same[like].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == no]
+                    at = at[(sx[at] == sy[j]).mean(axis=1) >= floor]
                     for i in at.tolist():
                         p, q = own(int(nx[i]), tx[i]), own(int(ny[j]), ty[j])
                         both = len(np.intersect1d(p, q, assume_unique=True))
@@ -172,7 +170,7 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
                             links.append((int(nx[i]), int(ny[j])))
             yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in links], pa.int64()) for f in (min, max)], ["a", "b"])
 
-    return common.map_arrow(every.join(others, "band").select("no", "x", "y"), run, "a long, b long").distinct()
+    return common.map_arrow(every.join(others, "band").select("x", "y"), run, "a long, b long").distinct()
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:

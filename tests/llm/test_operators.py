@@ -134,6 +134,27 @@ def test_near_dedup(docs, empty):
     assert minhash.near_classes(empty).count() == 0
 
 
+def test_pair_that_shares_an_earlier_band_in_low_bits_only(spark):
+    """A band whose minima agree in their low 8 bits but not as a whole is no bucket of the pair."""
+    r = random.Random(7)
+    while True:
+        a = [f"w{r.randrange(10**6)}" for _ in range(120)]
+        b = a[:60] + ["changed"] + a[61:] + ["more"] * r.randint(1, 14)
+        sets = [minhash.shingle_sets([" ".join(x).encode()], 4)[0] for x in (a, b)]
+        both = len(np.intersect1d(*sets))
+        low = np.stack([minhash.minima(h) for h in sets])
+        shared = np.flatnonzero(np.equal(*minhash.band_keys(low)))
+        first = np.flatnonzero(np.equal(*(low & 255).reshape(2, minhash.BANDS, minhash.ROWS)).all(axis=1))
+        if 100 * both >= 80 * (len(sets[0]) + len(sets[1]) - both) and len(shared) and first[0] < shared[0]:
+            break
+    df = spark.createDataFrame([(0, " ".join(a)), (1, " ".join(b))], "doc_id long, text string")
+    feats = minhash.features(df, 4).cache()
+    placed = feats.select(F.posexplode("bands").alias("no", "band"), "node", F.col("node").alias("label"))
+    placed = placed.join(placed.groupBy("band").count().filter("count > 1").select("band"), "band")
+    texts = minhash.texts_of(df, feats.select("node"), feats.groupBy("node").agg(F.min("key").alias("rep")))
+    assert minhash.across(placed, feats.select("node", "sig"), texts, 4, 80).count() == 1
+
+
 def test_decontamination(spark, empty):
     r = random.Random(5)
     word = lambda: "".join(r.choices("abcdefgh", k=5))
