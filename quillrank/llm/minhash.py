@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,8 +71,13 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_ids(texts: list[bytes]) -> pa.Array:
+    """A 64-bit hash of each text."""
+    return pa.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in texts], pa.int64())
+
+
 def features(df: DataFrame, k: int) -> DataFrame:
-    """key, node, n_shingles, bands, sig for each row. node: a hash of the shingle set, equal for equal sets."""
+    """key, row, node, n_shingles, bands, sig for each row. row: a hash of the text; node: one of the shingle set, equal for equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in sk.text_batches(batches, 1 << 20):
@@ -81,11 +87,11 @@ def features(df: DataFrame, k: int) -> DataFrame:
             total = np.append(np.uint64(0), np.cumsum(sk.mixed(h * sk._ODD + sk._MIX), dtype=np.uint64))
             node = sk.mixed(total[edges[1:]] - total[edges[:-1]] + sizes.astype(np.uint64)) >> np.uint64(1)
             bands = band_keys(low).view(np.int64)
-            arrays = [pa.array(keys), pa.array(node.view(np.int64)), pa.array(sizes), pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())), pa.array([x.tobytes() for x in low.astype(np.uint8)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "n_shingles", "bands", "sig"])
+            arrays = [pa.array(keys), text_ids(texts), pa.array(node.view(np.int64)), pa.array(sizes), pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())), pa.array([x.tobytes() for x in low.astype(np.uint8)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "row", "node", "n_shingles", "bands", "sig"])
 
     rows = df.select(common.key_of().alias("key"), common.text_of().alias("text"))
-    return common.map_arrow(rows, run, "key long, node long, n_shingles long, bands array<long>, sig binary")
+    return common.map_arrow(rows, run, "key long, row long, node long, n_shingles long, bands array<long>, sig binary")
 
 
 def alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -173,22 +179,32 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
     return common.map_arrow(every.join(others, "band").select("x", "y"), run, "a long, b long").distinct()
 
 
+def classes_of(feats: DataFrame) -> DataFrame:
+    """node, rep, row: the smallest key of each class of equal sets, and a text that it stands with there."""
+    least = F.min(F.struct("key", "row"))
+    return feats.groupBy("node").agg(least.alias("x")).select("node", F.col("x.key").alias("rep"), F.col("x.row").alias("row"))
+
+
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """band, no, node, label: the component of each node of a bucket, or itself."""
     return members.join(labels, "node", "left").select("band", "no", "node", F.coalesce("label", "node").alias("label"))
 
 
 def texts_of(df: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """node, text of the nodes given, from the row with the smallest key of each; texts move compressed."""
+    """node, text of the nodes given, from the row with the smallest key of each; texts move compressed.
+
+    Rows that share a key (repeated ids, and all null ones) may differ in text, so a text is found by its hash as well.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([packer.compress(x) for x in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["key", "text"])
+            raw = b.column(1).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), text_ids(raw), pa.array([packer.compress(x) for x in raw], pa.binary())], ["key", "row", "text"])
 
-    wanted = nodes.join(classes, "node").select("node", F.col("rep").alias("key"))
-    packed = common.map_arrow(df.select(common.key_of().alias("key"), common.text_of().alias("text")), pack, "key long, text binary")
-    return packed.join(wanted, "key").select("node", "text").dropDuplicates(["node"])
+    wanted = nodes.join(classes, "node").select("node", F.col("rep").alias("key"), "row")
+    packed = common.map_arrow(df.select(common.key_of().alias("key"), common.text_of().alias("text")), pack, "key long, row long, text binary")
+    return packed.join(wanted, ["key", "row"]).select("node", "text").dropDuplicates(["node"])
 
 
 def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
@@ -204,7 +220,7 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """
     feats = common.written(features(df, k))
     real = feats.filter("n_shingles > 0")
-    classes = common.written(real.groupBy("node").agg(F.min("key").alias("rep")))
+    classes = common.written(classes_of(real))
     sigs = real.select("node", "key", "sig").join(classes, "node").filter("key = rep").select("node", "sig").dropDuplicates(["node"])
 
     rows = real.select("node", F.posexplode("bands").alias("no", "band"))

@@ -134,6 +134,16 @@ def test_near_dedup(docs, empty):
     assert minhash.near_classes(empty).count() == 0
 
 
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    r = random.Random(8)
+    texts = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(24)]
+    rows = [(None if i % 2 else 100, " ".join(x)) for i, x in enumerate(texts)] + [(i, " ".join([*x, "more"])) for i, x in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # of the rows under one id, each belongs to the component of its own near copy
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in minhash.near_classes(df, k=4).collect())
+    assert got == sorted((d is None, d or 0, i % 24) for i, (d, _) in enumerate(rows))
+
+
 def test_pair_that_shares_an_earlier_band_in_low_bits_only(spark):
     """A band whose minima agree in their low 8 bits but not as a whole is no bucket of the pair."""
     r = random.Random(7)
@@ -151,7 +161,7 @@ def test_pair_that_shares_an_earlier_band_in_low_bits_only(spark):
     feats = minhash.features(df, 4).cache()
     placed = feats.select(F.posexplode("bands").alias("no", "band"), "node", F.col("node").alias("label"))
     placed = placed.join(placed.groupBy("band").count().filter("count > 1").select("band"), "band")
-    texts = minhash.texts_of(df, feats.select("node"), feats.groupBy("node").agg(F.min("key").alias("rep")))
+    texts = minhash.texts_of(df, feats.select("node"), minhash.classes_of(feats))
     assert minhash.across(placed, feats.select("node", "sig"), texts, 4, 80).count() == 1
 
 
