@@ -25,6 +25,8 @@ _OTHER = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 #: Characters of context on each side, and of the candidate, that the network sees.
 SIDE, BODY = 16, 48
+#: Characters from one view of a longer candidate to the next; a key of BODY - STEP is whole in some view.
+STEP = 12
 WIDTH, FILTERS = 5, 16
 
 _CLASSES = {c: i + 2 for i, c in enumerate(string.ascii_letters + string.digits + "+/_=-.:'\"@ \n#,;()<>{}[]")}
@@ -63,6 +65,11 @@ def encoded(text: str, start: int, end: int) -> np.ndarray:
     return np.fromiter((0 if c == "\0" else _CLASSES.get(c, 1) for c in whole), np.int64, 2 * SIDE + BODY)
 
 
+def views(start: int, end: int) -> list[tuple[int, int]]:
+    """Overlapping spans of BODY characters over a candidate, the last one at its end; itself if it is no longer."""
+    return [(i, i + BODY) for i in (*range(start, end - BODY, STEP), end - BODY)] if end - start > BODY else [(start, end)]
+
+
 class Network:
     """One convolution over characters, maximum and mean over places, and a logistic output."""
 
@@ -156,8 +163,9 @@ def trained(sample: list[str], *, made: int = 4000, recall: float = 0.98) -> Net
             s = _ASSIGN.match(text, s).start(2) if kind == 0 else s
             if e - s >= 16:
                 found.append((text, s, e, 1))
-    x, y = np.stack([encoded(t, s, e) for t, s, e, _ in found]), np.array([f[3] for f in found], float)
-    held = np.arange(len(x)) % 5 == 4
+    seen = [(t, *v, label, i) for i, (t, s, e, label) in enumerate(found) for v in views(s, e)]
+    x, y = np.stack([encoded(t, s, e) for t, s, e, *_ in seen]), np.array([f[3] for f in seen], float)
+    held = np.array([f[4] for f in seen]) % 5 == 4
     return Network().fit(x[~held], y[~held]).calibrate(x[held], y[held], recall)
 
 
@@ -169,12 +177,15 @@ def _scanner(df: DataFrame, sample_rows: int, recall: float):
     def spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
         out = [base_spans(t) for t in texts]
         more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, out[i])]
-        for at in range(0, len(more), 4096):
-            part = more[at : at + 4096]
-            score = net.value.score(np.stack([encoded(texts[i], s, e) for i, s, e in part]))
-            for (i, s, e), p in zip(part, score):
-                if p >= net.value.threshold:
-                    out[i].append((s, 3, e))
+        seen = [(n, i, *v) for n, (i, s, e) in enumerate(more) for v in views(s, e)]
+        hit = set()
+        for at in range(0, len(seen), 4096):
+            part = seen[at : at + 4096]
+            score = net.value.score(np.stack([encoded(texts[i], s, e) for _, i, s, e in part]))
+            hit.update(part[j][0] for j in np.flatnonzero(score >= net.value.threshold))
+        for n in sorted(hit):
+            i, s, e = more[n]
+            out[i].append((s, 3, e))
         return [sorted(x) for x in out]
 
     return spans
@@ -191,8 +202,8 @@ def scan(df: DataFrame, *, sample_rows: int = 500, recall: float = 0.98) -> Data
     """Secret spans of every row of df (doc_id, text; others are ignored), in code points.
 
     The fixed patterns give assign, access and hex spans. Every other run of 16 or more key characters with a letter and
-    a digit is judged by a character network from itself and its context; those above a threshold give model spans. The
-    network is fitted on the driver to made findings and to those of at most sample_rows rows; its scores are calibrated
+    a digit is judged by a character network from itself and its context, a longer one by the best of overlapping views
+    of 48 characters; those above a threshold give model spans. The network is fitted on the driver to made findings and to those of at most sample_rows rows; its scores are calibrated
     on held-out findings, and the threshold keeps `recall` of the secrets among them. Null texts are empty and have no
     spans. Repeated rows are each returned. An empty table gives an empty one.
     """

@@ -244,6 +244,15 @@ def test_held_out_accuracy():
     assert said[y == 1].mean() >= 0.95 and said[y == 0].mean() <= 0.1
 
 
+def test_key_inside_a_long_run(spark):
+    path = "/".join(["usr", "share", "local", "library", "modules", "common", "settings", "internal", "resources"])
+    keys = ["ghp_a8Xk29QzLmN4vR7tYw3pB6sD1fG5hJ0kTqWe", "Zx81Qm4LpR0vTn7WcYb2Kd9S"]
+    texts = [f"see {path}/{k}/{path} there" for k in keys]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_model for r in secrets.scan(df).orderBy("doc_id").collect()] == [1, 1]
+    assert not any(k in r.text for k, r in zip(keys, secrets.redact(df).orderBy("doc_id").collect()))
+
+
 def test_pages(spark):
     page = '<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class="cookie-notice">ok</div><article><h1>A &amp; B</h1><p>one <b>two</b>\n three<p>four<br>five</article><div id="comments">no</div><footer>f</footer></body></html>'
     plain = [f"<body><div>Site name</div><div>story {i} text {i}</div><div>Site end</div></body>" for i in range(8)]
