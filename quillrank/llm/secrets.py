@@ -130,7 +130,7 @@ class Network:
             w -= np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), a.T @ (p - goal) + 1e-3 * (w - [1.0, 0.0]))
         self.scale, self.offset = float(w[0]), float(w[1])
         hits = np.sort(self.score(x[y > 0]))
-        self.threshold = float(max(0.5, hits[int((1 - recall) * len(hits))])) if len(hits) else 0.5
+        self.threshold = float(hits[int((1 - recall) * len(hits))]) if len(hits) else 0.5
         return self
 
 

@@ -244,6 +244,13 @@ def test_held_out_accuracy():
     assert said[y == 1].mean() >= 0.95 and said[y == 0].mean() <= 0.1
 
 
+def test_threshold_keeps_the_recall():
+    x = np.random.default_rng(4).integers(0, 60, (400, 80))
+    y = np.arange(400) % 4 == 0  # nothing to tell them by, so most scores are below 0.5
+    net = secrets.Network().calibrate(x, y.astype(float), 0.98)
+    assert (net.score(x[y]) >= net.threshold).mean() >= 0.98
+
+
 def test_key_inside_a_long_run(spark):
     path = "/".join(["usr", "share", "local", "library", "modules", "common", "settings", "internal", "resources"])
     keys = ["ghp_a8Xk29QzLmN4vR7tYw3pB6sD1fG5hJ0kTqWe", "Zx81Qm4LpR0vTn7WcYb2Kd9S"]
