@@ -1,4 +1,4 @@
-"""Training-data operators: ten text operators and the queries built on them.
+"""Corpus operators: ten operators over texts, pages and dialogues, and the queries built on them.
 
 Nothing else in the library imports this package.
 """

@@ -85,17 +85,19 @@ with m as (
   select conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text,
          cast(floor(coalesce(turn, 0) / {PART_TURNS}.0) as bigint) as part
   from conversations
-), s as (select distinct conv_id, part, role as speaker from m where role <> 'system'
+), n as (
+  select *, cast((row_number() over (partition by conv_id, part order by turn nulls first, role, text) - 1) // {PART_ROWS} as bigint) as split from m
+), s as (select distinct conv_id, role as speaker from m where role <> 'system'
 ), l as (
-  select m.conv_id, m.part, s.speaker, m.turn, m.role, m.role = s.speaker as own,
-         '{OPEN}' || case when m.role = s.speaker then 'assistant' when m.role = 'system' then 'system' else 'user name=' || m.role end || chr(10) as head,
-         m.text || '<|im_end|>' || chr(10) as body
-  from m join s on m.conv_id is not distinct from s.conv_id and m.part = s.part
+  select n.conv_id, n.part, n.split, s.speaker, n.turn, n.role, n.role = s.speaker as own,
+         '{OPEN}' || case when n.role = s.speaker then 'assistant' when n.role = 'system' then 'system' else 'user name=' || n.role end || chr(10) as head,
+         n.text || '<|im_end|>' || chr(10) as body, n.text as said
+  from n join s on n.conv_id is not distinct from s.conv_id
 ), p as (
-  select *, sum(length(head || body)) over (partition by conv_id, part, speaker order by turn, role, body rows unbounded preceding) as e from l
+  select *, sum(length(head || body)) over (partition by conv_id, part, split, speaker order by turn nulls first, role, said rows unbounded preceding) as e from l
 )
-select conv_id, part, cast(0 as bigint) as split, speaker, count(*) as n_turns, cast(sum(case when own then 1 else 0 end) as bigint) as n_own,
-       sha256(string_agg(head || body, '' order by turn, role, body)) as text,
-       coalesce(string_agg(cast(cast(e - length(body) as bigint) as varchar) || ':' || cast(cast(e - 1 as bigint) as varchar), ',' order by turn, role, body) filter (where own), '') as masks
-from p group by conv_id, part, speaker
+select conv_id, part, split, speaker, count(*) as n_turns, cast(sum(case when own then 1 else 0 end) as bigint) as n_own,
+       sha256(string_agg(head || body, '' order by turn nulls first, role, said)) as text,
+       coalesce(string_agg(cast(cast(e - length(body) as bigint) as varchar) || ':' || cast(cast(e - 1 as bigint) as varchar), ',' order by turn nulls first, role, said) filter (where own), '') as masks
+from p group by conv_id, part, split, speaker
 """

@@ -1,4 +1,4 @@
-"""Helpers shared by the training-data operators."""
+"""Helpers shared by the corpus operators."""
 
 from __future__ import annotations
 
@@ -34,15 +34,22 @@ def text_of(column: str = "text") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which every executor can reach.
+    """A new folder under spark.checkpoint.dir, which every executor can reach; it is deleted when the driver ends.
 
-    Where the setting is missing (tests on one machine), a folder under /tmp is set.
+    Where the setting is missing and all tasks run in the driver's own process (tests), a folder under /tmp is set. On a
+    cluster that raises: each executor would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set, and tasks of {master} share no local folder")
         base = "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -52,6 +59,26 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores after it as make it none of df's columns, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, gone: DataFrame, most: int) -> DataFrame:
+    """Rows of df, with its columns alone, whose doc_id is not among the keys of gone (key: see key_of).
+
+    gone is written and counted: up to `most` keys (8 bytes each) go to all executors, and no text moves; beyond that both
+    sides are joined by key. Rows that share a doc_id, and all those without one, go or stay together.
+    """
+    name = free_name(df, "gone_key")
+    gone = written(gone.select(F.col("key").alias(name)).distinct())
+    side = F.broadcast(gone) if gone.count() <= most else gone
+    return df.withColumn(name, key_of()).join(side, name, "left_anti").select(*(f"`{c}`" for c in df.columns))
+
+
 def drop_written(df: DataFrame) -> None:
     """Deletes what written() stored; only for frames that nothing reads any more."""
     spark = df.sparkSession
@@ -64,19 +91,37 @@ def drop_written(df: DataFrame) -> None:
 BATCH_BYTES = 4 << 20
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: StructType | str, kind: object = None, every: int = 1) -> DataFrame:
-    """df.mapInArrow with lean() workers and batches of BATCH_BYTES.
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to BATCH_BYTES at most; a smaller setting stays.
 
-    The session's default of 64 MB a batch is held by the JVM, the worker and the copies it makes, for every task of an
-    executor at once. A smaller setting of the session stays.
+    The setting is read when a plan runs, so it can't be bound to one frame. The default of 64 MB a batch is held by the
+    JVM, the worker and the copies it makes, for every task of an executor at once.
     """
-    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf
     set_to = re.fullmatch(r"(\d+)b?", str(conf.get(name, "64m")))
     if not set_to or not 0 < int(set_to[1]) <= BATCH_BYTES:
         conf.set(name, str(BATCH_BYTES))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str, kind: object = None, every: int = 1) -> DataFrame:
+    """df.mapInArrow with lean() workers and small_batches()."""
+    small_batches(df.sparkSession)
     return df.mapInArrow(lean(run, kind, every), schema)
 
 
+def group_arrow(groups, run: Callable[[pa.Table], pa.Table], schema: StructType | str) -> DataFrame:
+    """groups.applyInArrow in workers that give freed memory back after each group."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        drop_kept(None)
+        out = run(table)
+        del table
+        trim()
+        return out
+
+    return groups.applyInArrow(wrapped, schema)
+
+
 #: What tasks of one kind keep in a worker process for later ones.
 _kept: dict[object, dict] = {}
 

@@ -28,46 +28,36 @@ def cost(length: int, linear: float, quadratic: float) -> float:
 def assign(lengths: list[int], capacity: int, n_sequences: int, linear: float, quadratic: float) -> tuple[list[tuple[int, int, int, int]], list[int]]:
     """Pieces (item, start, length, sequence) and the fill of each sequence.
 
-    Items in descending length go to the sequence of lowest cost that still has room for them. An item that fits
-    nowhere waits; in the end the waiting ones are cut to fill the room that is left, cheapest sequence first.
+    Items in descending length go to the sequence of lowest cost among all that have room for them, ties to the first
+    one; none is passed over while some sequence has room. An item that fits nowhere waits; in the end the waiting ones,
+    longest first, are cut to fill the room that is left, the largest room first, so that they come in few pieces.
     """
-    heap: list[tuple[float, int]] = [(0.0, s) for s in range(n_sequences)]
-    fill, pieces, waiting, costs = [0] * n_sequences, [], [], [0.0] * n_sequences
+    costs, room, pieces, waiting = np.zeros(n_sequences), np.full(n_sequences, capacity, np.int64), [], []
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        n, passed, target = lengths[i], [], -1
+        n = lengths[i]
         if not n:
             continue
-        while heap:
-            c, s = heapq.heappop(heap)
-            if fill[s] + n <= capacity:
-                target = s
-                break
-            if fill[s] < capacity:
-                passed.append((c, s))
-            if len(passed) >= 64:  # a piece is cut sooner than every sequence is looked at
-                break
-        for x in passed:
-            heapq.heappush(heap, x)
-        if target < 0:
+        fits = np.flatnonzero(room >= n)
+        if not len(fits):
             waiting.append(i)
             continue
-        pieces.append((i, 0, n, target))
-        fill[target] += n
-        costs[target] += cost(n, linear, quadratic)
-        if fill[target] < capacity:
-            heapq.heappush(heap, (costs[target], target))
-    room = [s for _, s in sorted((costs[s], s) for s in range(n_sequences) if fill[s] < capacity)][::-1]
+        s = int(fits[costs[fits].argmin()])
+        pieces.append((i, 0, n, s))
+        room[s] -= n
+        costs[s] += cost(n, linear, quadratic)
+    left = [(-int(room[s]), s) for s in np.flatnonzero(room).tolist()]
+    heapq.heapify(left)
     for i in waiting:
         start = 0
         while start < lengths[i]:
-            s = room[-1]
-            n = min(lengths[i] - start, capacity - fill[s])
+            most, s = heapq.heappop(left)
+            n = min(lengths[i] - start, -most)
             pieces.append((i, start, n, s))
-            fill[s] += n
+            room[s] -= n
             start += n
-            if fill[s] == capacity:
-                room.pop()
-    return pieces, fill
+            if room[s]:
+                heapq.heappush(left, (-int(room[s]), s))
+    return pieces, (capacity - room).tolist()
 
 
 def shard_sizes(total: int, capacity: int) -> list[int]:
@@ -85,7 +75,8 @@ def pack(df: DataFrame, *, capacity: int = 2048, eos: int = 1, linear: float = 1
     A row's tokens are those of its text (null: empty) and then `eos`, so an empty text is one token. Each partition
     packs shards of about `shard_tokens` tokens by itself, in one pass over the scan without a shuffle; memory is
     bounded by the shard, as longer documents give full sequences first. Inside a shard the remainders, longest first,
-    go to the sequence of lowest estimated cost that has room. Repeated rows and ids are packed as rows of their own.
+    go to the sequence of lowest estimated cost that has room; equal lengths in the order of the rows. Repeated rows and
+    ids are packed as rows of their own.
     doc_id null stays null. An empty table gives no pieces. A lost task packs the same rows the same way again.
     """
     path = tokenizer_file or tokens.tokenizer_path()

@@ -25,8 +25,9 @@ class Bands:
     """Limits for the ratio of plain to compressed bytes.
 
     Prose compresses better the longer it is, so the upper limit rises with the logarithm of the length. A text must stay
-    below it as a whole, and more than half of its full chunks must stay inside the chunk limits. Short texts say
-    nothing about compression and pass.
+    below it as a whole, and half of its chunks at least must stay inside the chunk limits. Texts from one chunk on have
+    chunks; the last one ends with the text, so every byte lies in some chunk. Texts under least_bytes say nothing about
+    compression and pass.
     """
 
     level: int = 3
@@ -66,12 +67,13 @@ def features(text: str) -> tuple[int, int, int, int, int]:
 
 
 def verdict(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[bool, float | None, int, int]:
-    """Whether raw is inside the bands; its ratio, its full chunks, and those outside the chunk limits."""
+    """Whether raw is inside the bands; its ratio, its chunks, and those outside the chunk limits."""
     n, size = len(raw), bands.chunk_bytes
     if n < bands.least_bytes:
         return True, None, 0, 0
     ratio = n / len(packer.compress(raw))
-    chunks = [size / len(packer.compress(raw[i : i + size])) for i in range(0, n - size + 1, size)] if n >= 2 * size else []
+    starts = [*range(0, n - size, size), n - size] if n >= size else []
+    chunks = [size / len(packer.compress(raw[i : i + size])) for i in starts]
     out = sum(not bands.chunk_low <= x <= bands.chunk_high for x in chunks)
     return bands.low <= ratio <= bands.high(n) and 2 * out <= len(chunks), ratio, len(chunks), out
 
@@ -80,8 +82,9 @@ def compression_rules(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
     """Features, base rule and compression verdict of every row of df (doc_id, text; others are ignored).
 
     A text fails the base rule with fewer than 50 words or with more than half of its words in repeated 3-word windows;
-    it is kept if it passes that and is inside the compression bands. Null texts have no words and fail. Very long texts
-    are compressed whole and by chunks. Repeated rows are each returned; an empty table gives an empty one.
+    it is kept if it passes that and is inside the compression bands. Null, empty and wordless texts fail. Texts of
+    any length are compressed whole, and from one chunk on by chunks as well; a value at a limit is inside. Repeated rows
+    are each returned; an empty table gives an empty one.
     """
     kind = df.schema["doc_id"].dataType.simpleString()
     names = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -104,7 +107,12 @@ def compression_rules(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
 
 
 def keep_passing(df: DataFrame, *, bands: Bands = Bands()) -> DataFrame:
-    """Rows of df that compression_rules keeps, with all columns, in one pass without a shuffle."""
+    """Rows of df that compression_rules keeps, with all columns, in one pass without a shuffle.
+
+    df: text, and any columns besides, which come back as they are, whatever their names. Null and empty texts go, as
+    they fail the base rule. Very long texts are judged whole. Repeated rows go or stay alike; a null id changes nothing.
+    An empty table gives an empty one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)

@@ -1,4 +1,4 @@
-"""Queries of the training-data operators, one for each, over whole tables."""
+"""Queries of the corpus operators, one for each, over whole tables."""
 
 from __future__ import annotations
 

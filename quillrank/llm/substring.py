@@ -11,10 +11,31 @@ from . import common
 from . import superkmers as sk
 
 
+def numbered(u: sk.Units) -> np.ndarray:
+    """A number for each word, equal for equal words and for no others.
+
+    Words are grouped by hash, and each is compared with the first of its group byte by byte; only if a hash is shared by
+    unlike words are the words themselves looked up.
+    """
+    _, first, number = np.unique(u.values, return_index=True, return_inverse=True)
+    raw, size = np.frombuffer(u.raw, np.uint8), u.hi - u.lo
+    lead = first[number]
+    same = bool((size == size[lead]).all())
+    for at in range(0, len(number) if same else 0, 1 << 18):
+        n = size[at : at + (1 << 18)]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        same &= bool((raw[np.repeat(u.lo[at : at + (1 << 18)], n) + step] == raw[np.repeat(u.lo[lead[at : at + (1 << 18)]], n) + step]).all())
+    if same:
+        return number
+    seen: dict[bytes, int] = {}
+    return np.fromiter((seen.setdefault(u.raw[i:j], len(seen)) for i, j in zip(u.lo.tolist(), u.hi.tolist())), np.int64, len(u.lo))
+
+
 def judge(k: int):
     """Windows of a bucket whose word sequence also starts earlier, by sorting all windows of the bucket.
 
-    Windows are sorted by two independent 64-bit fingerprints of their exact word sequences.
+    Words are numbered exactly (see numbered), windows are sorted by a fingerprint of their numbers, and neighbours with
+    one fingerprint are compared number by number, so windows that count as equal are.
     """
 
     def run(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, strings: bytes):
@@ -24,7 +45,9 @@ def judge(k: int):
         owner = np.repeat(np.arange(len(n)), n)
         own = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         at = u.first[owner] + own
-        h = sk.spans(u.c, at, at + k, sk.BASE_WORD)
+        number = numbered(u)
+        c = sk.prefix_hashes(sk.mixed((number + 1).astype(np.uint64) * sk._MIX), sk.BASE_WORD)
+        h = sk.spans(c, at, at + k, sk.BASE_WORD)
         order = np.argsort(h)
         equal = np.zeros(len(order), bool)
         equal[1:] = h[order][1:] == h[order][:-1]
@@ -34,11 +57,21 @@ def judge(k: int):
         if not len(order):
             z = np.zeros(0, np.int64)
             return z, z, z
-        second = sk.spans(sk.prefix_hashes(u.values, sk.BASE_SECOND), at[order], at[order] + k, sk.BASE_SECOND)
         key, place = ids[owner[order]], starts[owner[order]] + own[order]
-        by = np.lexsort((place, key, second, h[order]))
-        order, second = order[by], second[by]
-        later = np.append(False, (h[order][1:] == h[order][:-1]) & (second[1:] == second[:-1]))
+        by = np.lexsort((place, key, h[order]))
+        first = order[by]
+        heads = np.append(True, h[first][1:] != h[first][:-1])
+        lead, x = first[np.flatnonzero(heads)[np.cumsum(heads) - 1]], first
+        same = np.ones(len(x), bool)
+        for j in range(k):
+            same &= number[at[x] + j] == number[at[lead] + j]
+        if not same.all():  # two sequences with one fingerprint: the numbers themselves decide the order
+            by = np.lexsort((place, key, *(number[at[order] + j] for j in range(k)), h[order]))
+        order = order[by]
+        later = np.append(False, h[order][1:] == h[order][:-1])
+        if not same.all():
+            for j in range(k):
+                later[1:] &= number[at[order[1:]] + j] == number[at[order[:-1]] + j]
         # the first of a group stays, and so does a repeated row of it
         head = np.flatnonzero(~later)[np.cumsum(~later) - 1]
         key, place = key[by], place[by]

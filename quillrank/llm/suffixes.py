@@ -141,11 +141,26 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, cap: int) -> np.ndar
 def judge(k: int):
     """Windows of k bytes of a bucket that also start in a document with a smaller id.
 
-    Equal strings are one, with the smallest id. Windows that no other string can have (their fingerprint stands alone)
+    Equal strings are one, with the smallest id. Of windows that repeat inside one string, the first speaks for all, so
+    long repetitive texts shrink to one period. Windows that no other string can have (their fingerprint stands alone)
     are left out, and the remaining fragments go into one suffix array: a group of neighbours with common prefixes of k
     bytes or more is one window, and belongs to the smallest id in it.
     """
 
+    def firsts(maybe: np.ndarray, owner: np.ndarray, h: np.ndarray, place: np.ndarray, raw: np.ndarray) -> np.ndarray:
+        """For each of the windows given, the first one of its string that is equal, byte for byte."""
+        by = maybe[np.lexsort((maybe, h[maybe], owner[maybe]))]
+        new = np.append(True, (owner[by[1:]] != owner[by[:-1]]) | (h[by[1:]] != h[by[:-1]]))
+        head = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        again = np.flatnonzero(by != head)
+        for at in range(0, len(again), 1 << 20):
+            part = again[at : at + (1 << 20)]
+            x, y, same = place[by[part]], place[head[part]], np.ones(len(part), bool)
+            for j in range(k):
+                same &= raw[x + j] == raw[y + j]
+            head[part[~same]] = by[part[~same]]
+        return head[np.argsort(by)]
+
     def run(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, strings: bytes):
         edges = np.append(0, np.cumsum(sizes))
         cut = edges.tolist()
@@ -173,7 +188,10 @@ def judge(k: int):
         equal = np.zeros(len(order), bool)
         equal[1:] = h[order][1:] == h[order][:-1]
         equal[:-1] |= equal[1:]
-        maybe = np.sort(order[equal])
+        every = np.sort(order[equal])
+        del order, equal, bins, some
+        lead = firsts(every, owner, h, place, raw) if len(every) else every
+        maybe = every[lead == every]
         if len(maybe):
             new = np.append(True, (maybe[1:] != maybe[:-1] + 1) | (owner[maybe[1:]] != owner[maybe[:-1]]))
             head = np.flatnonzero(new)
@@ -194,6 +212,7 @@ def judge(k: int):
             group = np.cumsum(~joined) - 1
             low = np.minimum.reduceat(np.where(w >= 0, best[w], np.iinfo(np.int64).max), np.flatnonzero(~joined))
             best[w[w >= 0]] = low[group[w >= 0]]
+            best[every] = best[lead]
         # each occurrence of a string against the smallest id of each of its windows
         lowest = np.minimum.reduceat(best, first) if len(first) else best
         hit = np.flatnonzero(ids > lowest[kind])

@@ -4,11 +4,13 @@ A window is k consecutive units (bytes, or words) of one text. Its minimiser is
 it. Equal windows have equal minimisers, so they meet in one bucket; consecutive windows with the same minimiser travel
 as one string. Shared by suffix-array dedup (bytes) and substring dedup (words), which differ in how a bucket is judged.
 
-Hot grams. A passage that stands in a large share of all texts would bring one string a text to one bucket: the windows
-that straddle its edges are all different. `hot_grams` therefore finds the grams that stand in a large share of the texts
-of some batch, by a pass over all rows, and ranks them behind all others, so that straddling windows go by the grams of
-their own context. The list holds at most (grams a text / HOT_SHARE) entries, whatever the input's size. Equal strings
-of one batch travel once, so windows inside a passage or copy are combined on the map side.
+Hot grams. A gram that stands in very many places would bring as many strings to one bucket: the windows that straddle
+the edges of a frequent passage are all different. So all grams are counted first, over all rows, in slots by their
+hash, a few of them for each bucket. A slot with more grams than a bucket's share of bytes can take is hot, and the grams
+in it are ranked behind all others: their windows go by the next gram, as by a second minimiser. No gram outside a hot
+slot has more strings than that, whichever windows come to it, so no bucket grows with the input. What is sent to all
+executors is one bit a slot, and slots are bounded. Equal strings of one batch travel once, so windows inside a passage
+or copy, which have no other gram, are combined on the map side.
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ from . import common
 #: Bytes of text that are hashed at a time, and of packed strings that are sorted and compressed together.
 TEXT_BYTES, FLUSH_BYTES = 3 << 20, 40 << 20
 
-#: Packed bytes a bucket should hold.
-BUCKET_BYTES = 6 << 20
+#: Packed bytes a bucket should hold, and those that a byte of text gives about.
+BUCKET_BYTES, PACKED = 6 << 20, 3.5
 
-#: A gram is hot from this share of the texts of a batch on, and from this many texts.
-HOT_SHARE, HOT_LEAST = 0.005, 24
+#: Slots of gram counts for each bucket, and of all at most; a bit each is broadcast.
+SLOTS, MOST_SLOTS = 16, 1 << 22
+
+#: A slot is hot from this many times a bucket's bytes on, if each gram in it brought one string.
+HOT_BUCKETS = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -88,7 +93,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return x
 
 
-BASE_BYTE, BASE_WORD, BASE_SECOND = 0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x27BB2EE687B0B0FD
+BASE_BYTE, BASE_WORD = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 
 
 class Units:
@@ -123,13 +128,12 @@ class Units:
         return gram_hashes(self.c, self.m, self.base) if self.n >= self.m else np.zeros(0, np.uint64)
 
     def ranks(self, hot: np.ndarray) -> np.ndarray:
-        """Ranks of all grams: three in four grams, and the hot ones, come behind the rest."""
+        """Ranks of all grams: three in four grams, and those in hot slots, come behind the rest."""
         h = self.grams()
         behind = (h & np.uint64(3)) != 0
         if len(hot):
             at = np.flatnonzero(~behind)
-            found = hot[np.minimum(np.searchsorted(hot, h[at]), len(hot) - 1)] == h[at]
-            behind[at[found]] = True
+            behind[at[hot[slots_of(h[at], len(hot))]]] = True
         return (h >> np.uint64(1)) | (behind.astype(np.uint64) << np.uint64(63))
 
     def runs(self, k: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,28 +169,40 @@ def text_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple
         yield np.concatenate(ids), texts
 
 
-def hot_grams(rows: DataFrame, words: bool, m: int) -> tuple[np.ndarray, int]:
-    """The hashes of hot grams, sorted, and the bytes of all texts. rows: key, text.
+def slots_of(h: np.ndarray, n: int) -> np.ndarray:
+    """The slot of each gram hash, of n, which is a power of two."""
+    return (mixed(h * _MIX) & np.uint64(n - 1)).astype(np.int64)
+
+
+def slots_for(size: int, buckets: int) -> int:
+    """SLOTS for each bucket or more, as a power of two; for a text of `size` bytes no more than its grams are worth."""
+    return min(MOST_SLOTS, 1 << max(6, min(SLOTS * buckets, max(1, size // 64)).bit_length()))
+
 
-    A gram of a share of all texts has that share in some batch at least, so counting inside batches finds each one.
+def hot_slots(rows: DataFrame, k: int, words: bool, m: int, size: int, buckets: int) -> np.ndarray:
+    """For each slot whether it is hot. rows: key, text; size: the bytes of all texts.
+
+    One of four grams can be a minimiser at first, so only those count. A gram brings strings of twice k units at most.
     """
+    n = slots_for(size, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_batches(batches, TEXT_BYTES):
-            u = Units(texts, words, m)
-            h = np.sort((g := u.grams())[(g & np.uint64(3)) == 0])
-            heads = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-            counts = np.diff(np.append(heads, len(h)))
-            found = counts >= max(HOT_LEAST, HOT_SHARE * len(texts))
-            h, n = h[heads[found]].view(np.int64), counts[found]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(h, 0)), pa.array(np.append(n, 0)), pa.array(np.append(np.zeros(len(h), np.int64), len(u.raw))), pa.array(np.append(np.zeros(len(h), np.int64), len(texts)))], ["gram", "n", "bytes", "texts"])
-
-    local = rows.mapInArrow(run, "gram long, n long, bytes long, texts long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.sum("texts").alias("texts"))
-    local = common.written(local)
-    total = local.agg(F.sum("bytes"), F.sum("texts")).first()
-    least = max(HOT_LEAST, int(HOT_SHARE * (total[1] or 0)))
-    grams = [r[0] for r in local.filter(F.col("n") >= least).select("gram").collect()]
-    return np.sort(np.array(grams, np.int64).view(np.uint64)), int(total[0] or 0)
+        counts = np.zeros(n, np.int64)
+        for _, texts in text_batches(batches, TEXT_BYTES):
+            g = Units(texts, words, m).grams()
+            counts += np.bincount(slots_of(g[(g & np.uint64(3)) == 0], n), minlength=n)
+        slots = np.flatnonzero(counts)
+        for at in range(0, len(slots), 1 << 18):
+            part = slots[at : at + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["slot", "n"])
+
+    string = 2 * k * (6 if words else 1)
+    share = max(BUCKET_BYTES, size * PACKED / MOST_SLOTS * SLOTS)  # beyond MOST_SLOTS, slots hold several buckets
+    local = common.map_arrow(rows, run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = local.filter(F.col("n") * string > HOT_BUCKETS * share).select("slot")
+    hot = np.zeros(n, bool)
+    hot[[r[0] for r in found.collect()]] = True  # MOST_SLOTS at most
+    return hot if hot.any() else np.zeros(0, bool)
 
 
 #: Columns of a bucket's blob before its strings: ids as differences, starts, sizes.
@@ -284,7 +300,7 @@ def scatter(rows: DataFrame, k: int, m: int, words: bool, hot: np.ndarray, bucke
         if held:
             yield from flush()
 
-    return rows.mapInArrow(run, "bucket long, blob binary")
+    return common.map_arrow(rows, run, "bucket long, blob binary")
 
 
 def judged(blobs: DataFrame, k: int, judge) -> DataFrame:
@@ -312,14 +328,15 @@ def judged(blobs: DataFrame, k: int, judge) -> DataFrame:
         i, a, z = judge(ids, starts, sizes, strings)
         return pa.Table.from_batches([grouped_spans(ids[i], starts[i] + a, starts[i] + z - 1 + k)])
 
-    return blobs.groupBy("bucket").applyInArrow(bucket, RANGES)
+    return common.group_arrow(blobs.groupBy("bucket"), bucket, RANGES)
 
 
 def removed_spans(df: DataFrame, k: int, m: int, words: bool, same_text: bool, judge) -> DataFrame:
     """key, parts (array of binary spans) for each text of df that has repeated windows."""
     rows = df.select(common.key_of().alias("key"), common.text_of().alias("text"))
-    hot, size = hot_grams(rows, words, m)
-    buckets = max(16, -(-int(size * 3.5) // BUCKET_BYTES))
+    size = int(rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    buckets = max(16, -(-int(size * PACKED) // BUCKET_BYTES))
+    hot = hot_slots(rows, k, words, m, size, buckets)
     found = judged(scatter(rows, k, m, words, hot, buckets, same_text), k, judge)
     return found.groupBy("key").agg(F.collect_list("spans").alias("parts"))
 
@@ -343,8 +360,8 @@ def applied(df: DataFrame, spans_: DataFrame, finish, schema: str) -> DataFrame:
 
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split()[1]]) for n, x in zip(names, schema.split(", "))])
-    texts = df.select("doc_id", common.key_of().alias("key"), common.text_of().alias("text")).mapInArrow(pack, f"doc_id {kind}, key long, text binary")
-    return texts.join(spans_, "key", "left").select("doc_id", "text", "parts").mapInArrow(run, f"doc_id {kind}, {schema}")
+    texts = common.map_arrow(df.select("doc_id", common.key_of().alias("key"), common.text_of().alias("text")), pack, f"doc_id {kind}, key long, text binary")
+    return common.map_arrow(texts.join(spans_, "key", "left").select("doc_id", "text", "parts"), run, f"doc_id {kind}, {schema}")
 
 
 def covered(parts: list[bytes] | None, n: int) -> tuple[np.ndarray, np.ndarray]:
