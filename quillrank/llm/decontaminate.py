@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Seeds of the benchmark up to which they are sent to all executors (8 bytes each, and their places).
+#: Seeds of the benchmark up to which they are sent to all executors (8 bytes each, and their places), and doc_ids to drop.
 BROADCAST_SEEDS = 200_000
 
+#: Slots of the seed filter for each seed at least, and slots at least and at most (a byte each).
+SEED_SLOTS, FILTER_SLOTS = 32, (1 << 10, 1 << 22)
+
 #: A passage leaks if at least LEAST tokens of it (or the whole item, if shorter) agree in SHARE of the places. A window
 #: of twice LEAST or more that agrees so has a half that does, so those that hold a hit end within REACH of it.
 LEAST, SHARE = 16, 0.8
@@ -52,6 +58,21 @@ def settled(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
+def seed_filter(index: DataFrame, n_seeds: int) -> tuple[Column, int]:
+    """For each slot whether some seed of index falls there, as an array of 0 and 1, and the number of slots.
+
+    Executors fill the slots. They go into the plan as one string, which the optimiser turns into an array constant. Its
+    size follows the benchmark, never the texts, and is bounded: of a larger benchmark more runs pass, which the join on
+    the seeds themselves settles.
+    """
+    low, high = FILTER_SLOTS
+    slots = min(high, max(low, 1 << (n_seeds * SEED_SLOTS).bit_length()))
+    full = index.select(F.col("seed").bitwiseAND(slots - 1).alias("i"), F.lit("1").alias("b")).distinct()
+    rows = index.sparkSession.range(slots).withColumnRenamed("id", "i").join(full, "i", "left").select("i", F.coalesce("b", F.lit("0")).alias("b"))
+    made = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "b"))), lambda x: x["b"]), ",").alias("slots"))
+    return F.split(F.lit(made.first()[0]), ",").cast("array<tinyint>"), slots
+
+
 def _hashed(df: DataFrame, *keep: str) -> DataFrame:
     """keep, words, their hashes h, and their number n."""
     rows = settled(df, list(keep), words=tokens(common.text_of()))
@@ -80,23 +101,15 @@ def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     around = lambda p: F.slice("words", F.greatest(p - REACH, F.lit(1)), F.least(F.lit(REACH), p - 1) + REACH + 1)
     texts = _hashed(df.select(common.key_of().alias("key"), "text"), "key")
-    if n_seeds <= BROADCAST_SEEDS:  # checked: some MB at most
-        known = {k: [r[0] for r in index.filter(F.col("k") == k).select("seed").distinct().collect()] for k in runs}
-
-        def spots_of(k: int) -> Column:
-            spots = F.filter(places_of(k), lambda i: seed("h", i, k).isin(known[k]))
-            return F.transform(spots, lambda i: F.struct(i.alias("p"), seed("h", i, k).alias("seed"), around(i).alias("near")))
-
-        spots = F.concat(*map(spots_of, runs)) if runs else F.array().cast("array<struct<p:int,seed:bigint,near:array<string>>>")
-        hits = texts.select("key", F.inline(spots))
-        pairs = hits.join(F.broadcast(index.select("seed", "item_id", "q")), "seed").join(F.broadcast(whole), "item_id")
-    else:  # too many for every executor: only keys and places move, and the texts come back after
-        texts = texts.withColumn("row", F.xxhash64("words"))
-        spots_of = lambda k: F.transform(places_of(k), lambda i: F.struct(i.alias("p"), seed("h", i, k).alias("seed")))
-        hits = texts.select("key", "row", F.inline(F.concat(*map(spots_of, runs))))
-        found = hits.join(index, "seed").select("key", "row", "item_id", "p", "q").distinct()
-        pairs = found.join(texts.select("key", "row", "words").dropDuplicates(["key", "row"]), ["key", "row"])
-        pairs = pairs.select("key", "item_id", "p", "q", around(F.col("p")).alias("near")).join(whole, "item_id")
+    full, slots = seed_filter(index, n_seeds)
+    # one row a token, inside one generated loop: only rows that pass the filter take the words around with them
+    every = texts.select("key", "words", "h", "n", F.posexplode("h").alias("i", "x")).withColumn("p", F.col("i") + 1)
+    seeds = [F.when(F.col("p") + k - 1 <= F.col("n"), seed("h", F.col("p"), k)) for k in runs]
+    known = [F.get(full, x.bitwiseAND(slots - 1).cast("int")) == 1 for x in seeds]
+    hits = every.filter(reduce(or_, known, F.lit(False))).select("key", "p", around(F.col("p")).alias("near"), F.explode(F.array(F.lit(None).cast("long"), *seeds)).alias("seed"))
+    # the index and the items go to all executors if they are few; else the hits, which are few, are shuffled to them
+    small = F.broadcast if n_seeds <= BROADCAST_SEEDS else lambda x: x
+    pairs = hits.join(small(index.select("seed", "item_id", "q")), "seed").join(small(whole), "item_id")
     pairs = pairs.withColumn("before", F.least(F.lit(REACH), F.col("p") - 1))
     pairs = pairs.withColumn("left", F.least("before", F.col("q") - 1))
     right = F.least(F.size("near") - F.col("before"), F.size("item") - F.col("q") + 1)
@@ -133,14 +146,13 @@ def report(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of df that leak no benchmark item, with all columns.
+    """Rows of df that leak no benchmark item, with all columns, whatever their names.
 
-    The leaking ids are written first and counted: up to BROADCAST_SEEDS of them go to all executors, and no text moves;
-    beyond that both sides are joined by key.
+    Null, empty and wordless texts leak nothing. Very long texts are searched whole. Rows with one doc_id, and all those
+    without one, go or stay together, so a repeated row counts like its first. Empty tables, and a benchmark without
+    usable items, drop nothing. The leaking ids move, not the texts (see common.without).
     """
-    bad = common.written(leaks(df, benchmark).select(F.col("key").alias("__key")).distinct())
-    side = F.broadcast(bad) if bad.count() <= BROADCAST_SEEDS else bad
-    return df.withColumn("__key", common.key_of()).join(side, "__key", "left_anti").select(*df.columns)
+    return common.without(df, leaks(df, benchmark), BROADCAST_SEEDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
