@@ -1,4 +1,4 @@
-"""Secret scans: fixed patterns, and a small character network over further candidates."""
+"""Secret scans: fixed patterns, and a small character network over every candidate with its context."""
 
 from __future__ import annotations
 
@@ -20,8 +20,10 @@ KINDS = ("assign", "access", "hex", "model")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-#: Other candidates: long runs of the characters that keys are made of.
-_OTHER = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Candidates besides the fixed patterns' matches: long runs of the characters that keys are made of, of any kind, and
+#: what is assigned to a name that speaks of access, also if it is short.
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_VALUE = re.compile(r"""(?:pass|pwd|secret|token|key|auth|bearer|credential|login)[A-Za-z_]{0,12}["']?\x20{0,4}[:=]\x20{0,4}["']?([^\s"',;<>]{6,})""", re.I | re.A)
 
 #: Characters of context on each side, and of the candidate, that the network sees.
 SIDE, BODY = 16, 48
@@ -46,21 +48,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans for the network: runs with a letter and a digit that no fixed pattern covers."""
-    if not any(len(w) >= 16 for w in text.split()):
-        return []
-    out = []
-    for m in _OTHER.finditer(text):
-        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(s < m.end() and m.start() < e for s, _, e in base):
-            out.append(m.span())
-    return out
+    """Spans for the network, in order: what the fixed patterns match (of an assignment its value), all long runs of key
+    characters, letters or digits alone as well, and the values of names that speak of access."""
+    out = {(_ASSIGN.match(text, s).start(2) if kind == 0 else s, e) for s, kind, e in base}
+    if any(len(w) >= 16 for w in text.split()):
+        out.update(m.span() for m in _RUN.finditer(text))
+    if ":" in text or "=" in text:
+        out.update(m.span(1) for m in _VALUE.finditer(text))
+    return sorted(out)
 
 
 def encoded(text: str, start: int, end: int) -> np.ndarray:
-    """Character classes of the context before, the candidate (both ends if it is long), and the context after."""
+    """Character classes of the context before, the candidate (BODY characters at most, see views), and the context after."""
     body = text[start:end]
-    if len(body) > BODY:
-        body = body[: BODY // 2] + body[-BODY // 2 :]
     whole = text[max(0, start - SIDE) : start].rjust(SIDE, "\0") + body.ljust(BODY, "\0") + text[end : end + SIDE].ljust(SIDE, "\0")
     return np.fromiter((0 if c == "\0" else _CLASSES.get(c, 1) for c in whole), np.int64, 2 * SIDE + BODY)
 
@@ -137,56 +137,88 @@ class Network:
 def made_findings(n: int, seed: int = 11) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label): findings of known kind in made-up prose.
 
-    Secrets are random keys in common formats; the others are what such keys are mistaken for: identifiers, paths,
-    dates, version strings, numbered names, repeated characters.
+    Secrets are random keys in common formats and random passwords behind a name; the others are what such keys are
+    mistaken for: long words, identifiers, paths, dates, version and account numbers, ids in parts, repeated characters,
+    and plain words or numbers behind a name.
     """
     r = random.Random(seed)
     pick = lambda chars, k: "".join(r.choices(chars, k=k))
-    word = lambda: pick("etaoinshrdlu", r.randint(2, 9))
-    full, url = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "-_"
-    secret = [lambda: "ghp_" + pick(full, 36), lambda: "sk_live_" + pick(full, 24), lambda: "xoxb-" + pick(string.digits, 11) + "-" + pick(full, 24), lambda: "eyJ" + pick(url, 60), lambda: pick(full + "+/", 40), lambda: pick(url, r.randint(24, 64)), lambda: pick(full, r.randint(20, 44)) + "==", lambda: pick(string.ascii_uppercase + string.digits, r.randint(20, 32)), lambda: "AIza" + pick(url, 35)]
-    plain = [lambda: "_".join(word() for _ in range(r.randint(3, 5))) + pick(string.digits, 2), lambda: "/".join([word(), word(), word(), pick(string.digits, 4)]), lambda: "-".join(["20" + pick("012", 1) + pick(string.digits, 1), "01", pick("123", 2), word(), word()]), lambda: "".join(word().title() for _ in range(4)) + pick(string.digits, 1), lambda: word() + pick("x", 16) + pick(string.digits, 2), lambda: "=" * 14 + word() + pick(string.digits, 3), lambda: pick(string.digits, 15) + pick("abc", 1), lambda: word() + "-" + word() + "-" + pick(string.digits, 9), lambda: "v" + "-".join(pick(string.digits, 3) for _ in range(4))]
+    onsets, codas = "b c ch cl d f g gr h k l m n p pf pr qu r s sch sh st str t th tr tz v w wh z".split(), "n ng nt r rst s ss st t th ch cht l ld m nd tz x".split()
+    parts = [r.choice(onsets) + pick("aeiou", r.randint(1, 2)) + r.choice([*codas, *[""] * 12]) for _ in range(600)]
+    word = lambda: "".join(r.choices(parts, k=r.randint(1, 4)))
+    long_word = lambda: "".join(r.choices(parts, k=r.randint(6, 12)))
+    digits, low = string.digits, string.ascii_lowercase
+    full, url = string.ascii_letters + digits, string.ascii_letters + digits + "-_"
+    group = lambda k: pick(digits, k)
+    secret = [lambda: "ghp_" + pick(full, 36), lambda: "sk_live_" + pick(full, 24), lambda: "xoxb-" + group(11) + "-" + pick(full, 24), lambda: "eyJ" + pick(url, 60), lambda: pick(full + "+/", 40), lambda: pick(url, r.randint(24, 64)), lambda: pick(full, r.randint(20, 44)) + "==", lambda: pick(string.ascii_uppercase + digits, r.randint(20, 32)), lambda: "AIza" + pick(url, 35), lambda: pick(string.ascii_letters, r.randint(20, 48)), lambda: pick(low + digits, r.randint(20, 40)), lambda: pick("0123456789abcdef", r.choice((32, 40, 64)))]
+    plain = [lambda: "_".join(word() for _ in range(r.randint(3, 5))) + group(2), lambda: "/".join([word(), word(), word(), group(4)]), lambda: "-".join(["20" + group(2), "0" + group(1), group(2), word(), word()]), lambda: "".join(word().title() for _ in range(4)) + group(1), lambda: word() + "x" * 16 + group(2), lambda: "=" * 14 + word() + group(3), lambda: group(r.randint(16, 20)), lambda: word() + "-" + word() + "-" + group(9), lambda: "v" + "-".join(group(3) for _ in range(4)), long_word, lambda: long_word().title(), lambda: long_word().upper(), lambda: "-".join(word() for _ in range(5)), lambda: "-".join(pick("0123456789abcdef", k) for k in (8, 4, 4, 4, 12)), lambda: r.choice("-=_") * r.randint(16, 60), lambda: "/".join(word() for _ in range(r.randint(3, 6))), lambda: word() + group(12)]
+    names = ["password", "secret", "token", "api_key", "auth_key", "login", "pwd", "credential"]
+    hidden = [lambda: pick(full + "!$%.", r.randint(8, 14)), lambda: word().title() + group(3) + pick("!$%", 1), lambda: pick(full, r.randint(10, 16))]
+    shown = [lambda: long_word()[: r.randint(6, 12)], lambda: "required", lambda: "optional", lambda: group(6), lambda: word() + word(), lambda: "true;" + word()]
     out = []
     for i in range(n):
-        before = " ".join(word() for _ in range(r.randint(0, 6))) + r.choice([" ", " key: ", ' = "', "\n", " (", " auth ", " id "])
-        body = r.choice((plain, secret)[i % 2])()
-        out.append((before + body + r.choice([" ", '"', ",", "\n", ")"]) + " ".join(word() for _ in range(r.randint(0, 5))), len(before), len(before) + len(body), i % 2))
+        label, named = i % 2, r.random() < 0.2
+        before = " ".join(word() for _ in range(r.randint(0, 6)))
+        before += f" {r.choice(names)}{r.choice((': ', '=', ' = ', '=' + chr(34)))}" if named else r.choice([" ", " ", " ", "\n", " (", " id ", ' = "', " key: ", " auth "])
+        body = r.choice(((shown, plain)[r.random() < 0.3], (hidden, secret)[r.random() < 0.3])[label] if named else (plain, secret)[label])()
+        out.append((before + body + r.choice([" ", " ", '"', ",", "\n", ")", ". "]) + " ".join(word() for _ in range(r.randint(0, 5))), len(before), len(before) + len(body), label))
     return out
 
 
-def trained(sample: list[str], *, made: int = 4000, recall: float = 0.98) -> Network:
-    """A network fitted to made findings and to those of some texts: matches of the fixed patterns are secrets there."""
-    found = made_findings(made)
-    for text in sample:
+#: Pieces of the corpus that hold findings: from a fixed pattern's start, or from a long word, with what follows.
+_PIECES = r"""(?s)(?:(?:(?i:password|passwd|secret|token|api_?key))["']?\x20{0,4}[:=]|AKIA[A-Z0-9]{16}|(?<![A-Za-z0-9+/_=-])[0-9a-f]{24}|(?<![A-Za-z0-9+/_=-])[A-Za-z]{16,48}(?![A-Za-z0-9+/_=-])).{0,64}"""
+
+
+def corpus_findings(df: DataFrame, most: int) -> list[tuple[str, int, int, int]]:
+    """Labelled findings of df: matches of the fixed patterns are secrets, long words of one case outside them are none.
+
+    At most `most` pieces of under 200 characters, those with the smallest hashes over all rows, come to the driver, so
+    the sample does not depend on how rows are dealt.
+    """
+    pieces = df.select(F.explode(F.regexp_extract_all(common.text_of(), F.lit(_PIECES), F.lit(0))).alias("piece")).distinct()
+    out = []
+    for (text,) in pieces.orderBy(F.xxhash64("piece"), "piece").limit(most).collect():
         base = base_spans(text)
         for s, kind, e in base:
-            s = _ASSIGN.match(text, s).start(2) if kind == 0 else s
-            if e - s >= 16:
-                found.append((text, s, e, 1))
+            out.append((text, _ASSIGN.match(text, s).start(2) if kind == 0 else s, e, 1))
+        for m in _RUN.finditer(text):
+            if re.fullmatch("[A-Z]?[a-z]+", m[0]) and not any(s < m.end() and m.start() < e for s, _, e in base):
+                out.append((text, *m.span(), 0))
+    return out
+
+
+def trained(found: list[tuple[str, int, int, int]], *, made: int = 6000, recall: float = 0.98) -> Network:
+    """A network fitted to made findings and those given; every fifth is held out for calibration and threshold."""
+    found = made_findings(made) + found
     seen = [(t, *v, label, i) for i, (t, s, e, label) in enumerate(found) for v in views(s, e)]
     x, y = np.stack([encoded(t, s, e) for t, s, e, *_ in seen]), np.array([f[3] for f in seen], float)
     held = np.array([f[4] for f in seen]) % 5 == 4
     return Network().fit(x[~held], y[~held]).calibrate(x[held], y[held], recall)
 
 
-def _scanner(df: DataFrame, sample_rows: int, recall: float):
-    """Broadcast network for df, and a function that gives all spans of a list of texts."""
-    sample = [r[0] for r in df.select(common.text_of().alias("text")).filter(F.col("text").rlike("(?i)password|passwd|secret|token|api_?key|AKIA")).limit(sample_rows).collect()]
-    net = df.sparkSession.sparkContext.broadcast(trained(sorted(sample), recall=recall))
+def _scanner(df: DataFrame, sample_pieces: int, recall: float):
+    """Broadcast network for df, and a function that gives, for each of a list of texts, all its spans, how many
+    candidates the network has judged, and how many of the fixed patterns' matches it finds as well."""
+    net = df.sparkSession.sparkContext.broadcast(trained(corpus_findings(df, sample_pieces), recall=recall))
 
-    def spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        out = [base_spans(t) for t in texts]
-        more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, out[i])]
+    def spans(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], int, int]]:
+        base = [base_spans(t) for t in texts]
+        more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, base[i])]
         seen = [(n, i, *v) for n, (i, s, e) in enumerate(more) for v in views(s, e)]
-        hit = set()
+        hit, judged = set(), [0] * len(texts)
         for at in range(0, len(seen), 4096):
             part = seen[at : at + 4096]
             score = net.value.score(np.stack([encoded(texts[i], s, e) for _, i, s, e in part]))
             hit.update(part[j][0] for j in np.flatnonzero(score >= net.value.threshold))
-        for n in sorted(hit):
-            i, s, e = more[n]
-            out[i].append((s, 3, e))
-        return [sorted(x) for x in out]
+        found, agreed = [list(x) for x in base], [0] * len(texts)
+        for n, (i, s, e) in enumerate(more):
+            judged[i] += 1
+            if n in hit:
+                inside = [b for b in base[i] if b[0] <= s and e <= b[2]]
+                agreed[i] += len(inside)
+                if not inside:
+                    found[i].append((s, 3, e))
+        return [(sorted(x), a, b) for x, a, b in zip(found, judged, agreed)]
 
     return spans
 
@@ -195,39 +227,49 @@ def written_spans(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-SCHEMA = "n_assign long, n_access long, n_hex long, n_model long, base_sha256 string, spans string"
+SCHEMA = "n_assign long, n_access long, n_hex long, n_model long, n_judged long, n_agreed long, base_sha256 string, spans string"
 
 
-def scan(df: DataFrame, *, sample_rows: int = 500, recall: float = 0.98) -> DataFrame:
+def scan(df: DataFrame, *, sample_pieces: int = 2000, recall: float = 0.98) -> DataFrame:
     """Secret spans of every row of df (doc_id, text; others are ignored), in code points.
 
-    The fixed patterns give assign, access and hex spans. Every other run of 16 or more key characters with a letter and
-    a digit is judged by a character network from itself and its context, a longer one by the best of overlapping views
-    of 48 characters; those above a threshold give model spans. The network is fitted on the driver to made findings and to those of at most sample_rows rows; its scores are calibrated
-    on held-out findings, and the threshold keeps `recall` of the secrets among them. Null texts are empty and have no
-    spans. Repeated rows are each returned. An empty table gives an empty one.
+    The fixed patterns give assign, access and hex spans. A character network judges every candidate from itself and its
+    context: those spans, every other run of 16 or more key characters, and every value of 6 or more characters behind a
+    name that speaks of access; a candidate over 48 characters counts by the best of overlapping views of 48. What scores
+    above a threshold and lies in no fixed span is a model span. n_judged: candidates; n_agreed: fixed spans that the
+    network finds, too. The network is fitted on the driver to made findings and to those in at most sample_pieces short
+    pieces of the corpus; its scores are calibrated on held-out findings, and the threshold keeps `recall` of the secrets
+    among them. Null and empty texts have no spans. Very long texts are read whole. Equal starts come in the order of
+    kinds. Repeated rows are each returned. An empty table gives an empty one.
     """
-    spans, kind = _scanner(df, sample_rows, recall), df.schema["doc_id"].dataType.simpleString()
+    spans, kind = _scanner(df, sample_pieces, recall), df.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.chunks_by_bytes(batches, 1, 4 << 20):
-            found = spans(b.column(1).to_pylist())
-            counts = [pa.array([sum(k == i for _, k, _ in x) for x in found], pa.int64()) for i in range(4)]
-            base = pa.array([hashlib.sha256(written_spans([y for y in x if y[1] < 3]).encode()).hexdigest() for x in found])
-            yield pa.RecordBatch.from_arrays([b.column(0), *counts, base, pa.array(map(written_spans, found), pa.string())], ["doc_id", *(x.split()[0] for x in SCHEMA.split(", "))])
+            rows = spans(b.column(1).to_pylist())
+            found = [x for x, *_ in rows]
+            counts = [[sum(k == i for _, k, _ in x) for x in found] for i in range(4)] + [[x[i] for x in rows] for i in (1, 2)]
+            base = [hashlib.sha256(written_spans([y for y in x if y[1] < 3]).encode()).hexdigest() for x in found]
+            arrays = [*(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(map(written_spans, found), pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], ["doc_id", *(x.split()[0] for x in SCHEMA.split(", "))])
 
     return common.map_arrow(df.select("doc_id", common.text_of().alias("text")), run, f"doc_id {kind}, {SCHEMA}")
 
 
-def redact(df: DataFrame, *, mark: str = "[secret]", sample_rows: int = 500, recall: float = 0.98) -> DataFrame:
-    """All rows of df with each secret span replaced by `mark`; n_chars, where there is such a column, follows the text."""
-    spans = _scanner(df, sample_rows, recall)
+def redact(df: DataFrame, *, mark: str = "[secret]", sample_pieces: int = 2000, recall: float = 0.98) -> DataFrame:
+    """All rows of df with each secret span replaced by `mark`; n_chars, where there is such a column, follows the text.
+
+    Other columns, whatever their names, stay as they are. Null texts stay null, empty ones empty; very long ones are read
+    whole. Spans that overlap or touch are one mark each from where the one before ends. Repeated rows give repeated
+    rows. An empty table gives an empty one. The spans are those of scan(), by the same network.
+    """
+    spans = _scanner(df, sample_pieces, recall)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(at).to_pylist()
             out = []
-            for text, found in zip(texts, spans([t or "" for t in texts])):
+            for text, (found, *_) in zip(texts, spans([t or "" for t in texts])):
                 if found:
                     parts, end = [], 0
                     for s, _, e in found:
