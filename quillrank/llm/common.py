@@ -104,8 +104,15 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: StructType | str, kind: object = None, every: int = 1) -> DataFrame:
-    """df.mapInArrow with lean() workers and small_batches()."""
+    """df.mapInArrow with lean() workers and small_batches(). schema: df.schema where rows are kept as they are.
+
+    Spark takes column names with dots for paths there, so such frames are mapped under plain names.
+    """
     small_batches(df.sparkSession)
+    names = df.columns
+    if schema == df.schema and (any(re.search(r"[^A-Za-z0-9_]", c) for c in names) or len({c.lower() for c in names}) < len(names)):
+        df = df.toDF(*(f"c{i}" for i in range(len(names))))
+        return df.mapInArrow(lean(run, kind, every), df.schema).toDF(*names)
     return df.mapInArrow(lean(run, kind, every), schema)
 
 

@@ -277,7 +277,7 @@ def article(root: Node, constant, known: dict[int, list[int]] | None, marks: boo
         if linked > plain:
             return False
         if node.tag in _TEXT_TAGS or node.tag in _INLINE:
-            return parent is end or node.tag == "h1"
+            return parent is end or node.tag == "h1" or plain >= BESIDE * goal
         return plain >= BESIDE * goal
 
     blocks, parts = [], []

@@ -77,7 +77,10 @@ def text_ids(texts: list[bytes]) -> pa.Array:
 
 
 def features(df: DataFrame, k: int) -> DataFrame:
-    """key, row, node, n_shingles, bands, sig for each row. row: a hash of the text; node: one of the shingle set, equal for equal sets."""
+    """key, row, node, twin, n_shingles, bands, sig for each row.
+
+    row: a hash of the text; node and twin: two independent hashes of the shingle set, equal for equal sets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in sk.text_batches(batches, 1 << 20):
@@ -86,12 +89,14 @@ def features(df: DataFrame, k: int) -> DataFrame:
             low = np.stack([minima(h[i:j]) for i, j in zip(edges[:-1], edges[1:])])
             total = np.append(np.uint64(0), np.cumsum(sk.mixed(h * sk._ODD + sk._MIX), dtype=np.uint64))
             node = sk.mixed(total[edges[1:]] - total[edges[:-1]] + sizes.astype(np.uint64)) >> np.uint64(1)
+            total = np.append(np.uint64(0), np.cumsum(sk.mixed((h ^ sk._ODD) * sk._MIX + sk._ODD), dtype=np.uint64))
+            twin = sk.mixed((total[edges[1:]] - total[edges[:-1]]) ^ sk._MIX)
             bands = band_keys(low).view(np.int64)
-            arrays = [pa.array(keys), text_ids(texts), pa.array(node.view(np.int64)), pa.array(sizes), pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())), pa.array([x.tobytes() for x in low.astype(np.uint8)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "row", "node", "n_shingles", "bands", "sig"])
+            arrays = [pa.array(keys), text_ids(texts), pa.array(node.view(np.int64)), pa.array(twin.view(np.int64)), pa.array(sizes), pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())), pa.array([x.tobytes() for x in low.astype(np.uint8)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "row", "node", "twin", "n_shingles", "bands", "sig"])
 
     rows = df.select(common.key_of().alias("key"), common.text_of().alias("text"))
-    return common.map_arrow(rows, run, "key long, row long, node long, n_shingles long, bands array<long>, sig binary")
+    return common.map_arrow(rows, run, "key long, row long, node long, twin long, n_shingles long, bands array<long>, sig binary")
 
 
 def alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -131,9 +136,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes of one bucket but different components. placed: band, no, node, label.
 
-    In a bucket with several components, the nodes outside its largest one are compared with all nodes, block by block:
-    a block is one row of about BLOCK signatures and texts, so rows grow with a bucket's blocks, not with its pairs, and
-    no bucket is gathered in one task. Pairs with like signatures are confirmed on whole sets there, in every bucket
+    In a bucket with several components, the nodes outside its largest one are compared with all nodes, block by block. A
+    row is a pair of blocks of about BLOCK signatures and texts, so a bucket of n nodes with m outside has n * m / BLOCK**2
+    rows of bounded size, and none is gathered in one task; n * m signatures are compared, which no method that loses no
+    link of a bucket can save where all its texts are unlike. Pairs with like signatures are confirmed on whole sets there, in every bucket
     that they share: signatures hold 8 bits of each minimum, so they do not tell which buckets those are.
     """
     floor = floor_of(percent / 100)
@@ -180,9 +186,25 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
 
 
 def classes_of(feats: DataFrame) -> DataFrame:
-    """node, rep, row: the smallest key of each class of equal sets, and a text that it stands with there."""
+    """node, rep, row, unlike: the smallest key of each class of equal sets, and a text that it stands with there.
+
+    unlike: whether sets of one node differ in their second hash, so that they are not equal.
+    """
     least = F.min(F.struct("key", "row"))
-    return feats.groupBy("node").agg(least.alias("x")).select("node", F.col("x.key").alias("rep"), F.col("x.row").alias("row"))
+    unlike = F.min("twin") != F.max("twin")
+    return feats.groupBy("node").agg(least.alias("x"), unlike.alias("unlike")).select("node", F.col("x.key").alias("rep"), F.col("x.row").alias("row"), "unlike")
+
+
+def settled(feats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """feats and its written classes, with a node for each set alone: sets that share a node but not the second hash get
+    nodes made of both, until none is shared. There are none below some billions of sets."""
+    while True:
+        classes = common.written(classes_of(feats.filter("n_shingles > 0")))
+        unlike = classes.filter("unlike").select("node", "unlike")
+        if unlike.isEmpty():
+            return feats, classes.drop("unlike")
+        own = F.when(F.col("unlike"), F.shiftrightunsigned(F.xxhash64("node", "twin"), 1)).otherwise(F.col("node"))
+        feats = common.written(feats.join(unlike, "node", "left").withColumn("node", own).select(*feats.columns))
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,15 +234,15 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
 
     Sets are the distinct k-word shingles of the text with A-Z in lower case; fewer words are one shingle; null, empty
     and wordless texts have empty sets and link with nothing. Sets that share percent of their union are linked;
-    component_id is the smallest doc_id that is reachable. Rows with equal sets are one node, so copies cost nothing.
+    component_id is the smallest doc_id that is reachable. Rows with equal sets (by two 64-bit hashes) are one node, so
+    copies cost nothing.
     Each bucket of each band links its texts to one leader (verified by signature, confirmed on whole sets), and these
     links give components. In buckets that still hold several components, all nodes outside the largest one are compared
     with all others, in blocks of signatures, so no link inside a bucket is lost. A null doc_id comes last and gives component null.
     Repeated rows are each returned; of rows with one doc_id all are kept or none. An empty table gives an empty one.
     """
-    feats = common.written(features(df, k))
+    feats, classes = settled(common.written(features(df, k)))
     real = feats.filter("n_shingles > 0")
-    classes = common.written(classes_of(real))
     sigs = real.select("node", "key", "sig").join(classes, "node").filter("key = rep").select("node", "sig").dropDuplicates(["node"])
 
     rows = real.select("node", F.posexplode("bands").alias("no", "band"))

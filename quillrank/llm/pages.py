@@ -110,7 +110,8 @@ def templates(pages: DataFrame) -> DataFrame:
 
     kind TEXT: slot is the hash of a text and its place that stands in n pages, SHARE of the aligned ones or more, and
     LEAST or more. kind SLOT: slot is the hash of an element's place (labels from the root); n: how many such elements
-    there are; plain, linked: varying words below them, outside and inside links. Trees without texts (labels, hashes,
+    there are; plain, linked: varying words below them, outside and inside links. Fewer than LEAST aligned pages give no
+    template, as copies could pass for one. Trees without texts (labels, hashes,
     numbers of words) are dealt by their hash into groups of about GROUP trees of one host, and aligned there by simple
     tree matching; figures of all groups are added. Equal trees count once, and are combined before they move. The
     unknown host has no template.
@@ -140,7 +141,8 @@ def templates(pages: DataFrame) -> DataFrame:
     found = common.written(found.groupBy("host", "kind", "slot").agg(*(F.sum(c).alias(c) for c in ("n", "plain", "linked"))))
     total = found.filter(F.col("kind") == PAGES).select("host", F.col("n").alias("pages"))
     often = (F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages"))
-    return found.filter(F.col("kind") != PAGES).join(total, "host").filter((F.col("kind") == SLOT) | often).drop("pages")
+    enough = F.col("pages") >= LEAST
+    return found.filter(F.col("kind") != PAGES).join(total, "host").filter(enough & ((F.col("kind") == SLOT) | often)).drop("pages")
 
 
 def extract(pages: DataFrame, *, marks: bool = True) -> DataFrame:
@@ -148,7 +150,7 @@ def extract(pages: DataFrame, *, marks: bool = True) -> DataFrame:
 
     The text is the article's: its blocks in page order, joined by blank lines. The host's template (see templates) says
     which texts are constant and what each slot holds; dom.article follows the varying text to the article and leaves
-    out what lies beside it. A page whose host has no other page is read by itself. Null and empty html give an empty
+    out what lies beside it. A page whose host has no template is read by itself. Null and empty html give an empty
     text; broken markup and very long or deep pages are read to the end; pages of an unknown host (null or relative url)
     have no template. Repeated rows are each returned; an empty table gives an empty one. marks: see dom.article.
     """
