@@ -121,14 +121,16 @@ def let(value: Column, use) -> Column:
 def word_distance(ref: Column, hyp: Column) -> Column:
     """Edit distance of two word arrays on the JVM: each distinct word of the pair becomes one character.
 
-    There is room for 50,000 distinct words a pair, below and above the surrogates; with more the result is null.
+    There is room for over a million distinct words a pair, all code points but the surrogates; a pair with more raises.
+    Equal arrays have distance 0 at once.
     """
 
     def place(known: Column, x: Column) -> Column:
         i = F.array_position(known, x)
-        code = F.when(i <= 34000, i + 19968).otherwise(i - 34000 + 200)
-        return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        code = F.when(i <= 55000, i + 200).otherwise(i + 2400)
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
     text = lambda k, w: F.array_join(F.transform(w, lambda x: place(k, x)), "")
     both = F.struct(ref.alias("r"), hyp.alias("h"), F.array_distinct(F.concat(ref, hyp)).alias("k"))
-    return let(both, lambda b: F.when(F.size(b["k"]) <= 50000, F.levenshtein(text(b["k"], b["r"]), text(b["k"], b["h"]))))
+    coded = let(both, lambda b: F.when(F.size(b["k"]) <= 1_100_000, F.levenshtein(text(b["k"], b["r"]), text(b["k"], b["h"]))).otherwise(F.raise_error(F.lit("over 1,100,000 distinct words in a pair")).cast("int")))
+    return F.when(ref == hyp, 0).otherwise(coded)

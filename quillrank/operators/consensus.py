@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import sequences, text
 
 
 def rollup(models: DataFrame, segments: DataFrame) -> DataFrame:
@@ -39,26 +39,37 @@ def clean_route(outputs: DataFrame) -> DataFrame:
     return rows.select("audio_id", "model_ix", F.col("_t").alias("text"), default("confidence", 0.0), default("entropy", 1.0), default("no_speech_prob", 1.0), "hallucination_detected", "reasons")
 
 
-def _positions(outputs: DataFrame) -> DataFrame:
-    """Counts of each token at each place of a recording's outputs, with the first model that has it."""
-    tokens = outputs.select("audio_id", "model_ix", F.posexplode(text.words(F.col("text"))).alias("pos", "token"))
-    return tokens.groupBy("audio_id", "pos", "token").agg(F.count("*").alias("n"), F.min("model_ix").alias("first"))
+def _places(outputs: DataFrame) -> DataFrame:
+    """audio_id, tops: for each place the commonest token (ties to the earliest model), its count, and that of all.
+
+    One shuffle brings a recording's few outputs together; places are counted inside the row, so no token moves alone.
+    """
+    own = F.struct("model_ix", text.words(F.coalesce("text", F.lit(""))).alias("w"))
+    rows = outputs.groupBy("audio_id").agg(F.sort_array(F.collect_list(own)).alias("m"))
+    most = F.array_max(F.transform("m", lambda x: F.size(x["w"])))
+
+    def top(p: Column) -> Column:
+        here = F.filter(F.transform("m", lambda x: F.struct(F.get(x["w"], p).alias("token"), (-x["model_ix"]).alias("f"))), lambda t: t["token"].isNotNull())
+        best = lambda some: F.array_max(F.transform(some, lambda t: F.struct(F.size(F.filter(some, lambda u: u["token"] == t["token"])).alias("n"), t["f"].alias("f"), t["token"].alias("token"), F.size(some).alias("of"))))
+        return sequences.let(here, best)
+
+    places = F.when(most > 0, F.sequence(F.lit(0), most - 1)).otherwise(F.array().cast("array<int>"))
+    return rows.select("audio_id", F.transform(places, top).alias("tops"))
 
 
 def consensus(outputs: DataFrame) -> DataFrame:
-    """audio_id, consensus: the commonest token of each place, ties to the earliest model; '' where all are blank.
+    """audio_id, consensus: the commonest token of each place, ties to the earliest model; '' where all are blank."""
+    return _places(outputs).select("audio_id", F.array_join(F.transform("tops", lambda t: t["token"]), " ").alias("consensus"))
 
-    The winner of a place is the largest (count, -model), combined before the shuffle; no window is needed.
-    """
-    top = _positions(outputs).groupBy("audio_id", "pos").agg(F.max(F.struct("n", (-F.col("first")).alias("f"), "token")).alias("t"))
-    made = top.groupBy("audio_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col("t.token").alias("token")))), lambda x: x["token"]), " ").alias("consensus"))
-    return outputs.select("audio_id").distinct().join(made, "audio_id", "left").fillna("", ["consensus"])
+
+def _agreed() -> Column:
+    total = F.aggregate("tops", F.lit(0.0), lambda a, t: a + t["n"] / t["of"])
+    return F.when(F.size("tops") > 0, total / F.size("tops"))
 
 
 def agreement(outputs: DataFrame) -> DataFrame:
     """Mean over places of the top token's share; null where no output has a word."""
-    shares = _positions(outputs).groupBy("audio_id", "pos").agg((F.max("n") / F.sum("n")).alias("s"))
-    return outputs.select("audio_id").distinct().join(shares.groupBy("audio_id").agg(F.avg("s").alias("agreement")), "audio_id", "left")
+    return _places(outputs).select("audio_id", _agreed().alias("agreement"))
 
 
 def reliability(outputs: DataFrame) -> DataFrame:
@@ -67,7 +78,3 @@ def reliability(outputs: DataFrame) -> DataFrame:
     means = outputs.groupBy("audio_id").agg(conf.alias("conf"), F.avg("entropy").alias("ent"), F.avg(1 - F.col("no_speech_prob")).alias("speech"))
     return agreement(outputs).join(means, "audio_id").select("audio_id", (F.col("agreement") * F.col("conf") / (1 + F.col("ent")) * F.col("speech")).alias("rss"))
 
-
-def majority(outputs: DataFrame) -> DataFrame:
-    """Outputs with rank: most confident first, ties to the earlier model."""
-    return outputs.withColumn("rank", F.row_number().over(Window.partitionBy("audio_id").orderBy(F.desc("confidence"), "model_ix")))

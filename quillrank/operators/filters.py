@@ -68,9 +68,12 @@ def outliers(rows: DataFrame) -> DataFrame:
     return rows.join(medians, "audio_id").withColumn("ok_outlier", ok).drop("med", "options")
 
 
-def checks(rows: DataFrame, with_script: bool = False) -> DataFrame:
-    """All checks of candidates (audio_id, option_no, transcript, lang, seconds) as ok_ columns, evaluated together."""
-    rows = outliers(rows).withColumn("w", text.words(F.col("transcript")))
+def checks(rows: DataFrame, with_script: bool = False, with_outlier: bool = True) -> DataFrame:
+    """The checks of candidates (audio_id, option_no, transcript, lang, seconds) as ok_ columns, evaluated together.
+
+    Only the outlier check needs the other options of a recording, and so a shuffle.
+    """
+    rows = (outliers(rows) if with_outlier else rows).withColumn("w", text.words(F.col("transcript")))
     rows = rows.withColumns({"ok_duration": check_duration(est_duration(F.col("w"), F.col("lang")), F.col("seconds")), "ok_rate": check_rate(F.col("w"), F.col("lang"), F.col("seconds")), "ok_diversity": check_ttr(F.col("w")), "ok_empty_tokens": check_empty_tokens(F.col("w")), "ok_repetition": check_repetition(F.col("w"))})
     if with_script:
         top = sequences.dominant_script("transcript")

@@ -46,10 +46,15 @@ def rates(frame: DataFrame, fuzzy: bool = True) -> DataFrame:
     return out.withColumn("fuzzy", sequences.ratio(True, True)("ref", "hyp")) if fuzzy else out
 
 
+def consistency(variance: Column) -> Column:
+    """How little word errors differ between references, from their variance."""
+    return clip01(1 - 20 * variance)
+
+
 def tss(rows: DataFrame) -> DataFrame:
     """Means over references, consistency from the spread of word errors, and the text similarity score."""
     out = rows.groupBy(KEY).agg(F.avg("wer").alias("wer"), F.var_pop("wer").alias("wer_var"), F.avg("cer").alias("cer"), F.avg("fuzzy").alias("fuzzy"))
-    out = out.withColumn("consistency", clip01(1 - 20 * F.col("wer_var")))
+    out = out.withColumn("consistency", consistency(F.col("wer_var")))
     return out.withColumn("tss", clip01(0.45 * (1 - F.col("wer")) + 0.20 * (1 - F.col("cer")) + 0.15 * F.col("fuzzy") + 0.20 * F.col("consistency")))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences, text
-from ..functions.scores import clip01
 from ..operators import alignment, audio, consensus, filters, language, linguistic, ranking, similarity
 from ..sources import fixtures as fx
 from ..sources import tables
@@ -60,9 +59,9 @@ def _(s, d):
     return fx.sheet(s, d).select("audio_id", code.alias("code"), text.safe_language(code).alias("safe"))
 
 
-@query("discover_ids")
+@query("discover_ids", "select cast(doc_id as varchar) as audio_id, '/audio/' || doc_id || '.mp3' as path from documents where doc_id % 5 = 0")
 def _(s, d):
-    return tables.discover(tables.table(s, d, "documents").select(F.concat(F.lit("/audio/"), "doc_id", F.when(F.col("doc_id") % 2 == 0, ".mp3").otherwise(".txt")).alias("path")))
+    return tables.discover(tables.table(s, d, "documents").select(F.concat(F.lit("/audio/"), F.when(F.col("doc_id") % 5 == 1, "abc").when(F.col("doc_id") % 5 == 2, "x-").otherwise(""), "doc_id", F.when(F.col("doc_id") % 5 == 3, ".txt").when(F.col("doc_id") % 5 == 4, ".wav").otherwise(".mp3")).alias("path")))
 
 
 # signals
@@ -154,6 +153,11 @@ def _(s, d):
     return language.ensemble(primary, fallback)
 
 
+@query("lang_best", f"with {fx.VOTES}, {_VOTE}, r as (select audio_id, lang, round(share, 4) as share, row_number() over (partition by audio_id order by round(share, 4) desc, lang) as k from f) select audio_id, lang, share from r where k = 1")
+def _(s, d):
+    return language.best(language.chunk_vote(fx.votes(s, d)))
+
+
 _NONSENSE = r"n as (select doc_id, lang, n_chars, regexp_replace(text, '\s', '', 'g') as x from documents), c as (select doc_id, count(*) as k, sum(case when regexp_matches(ch, '[\p{L}\p{N}]') then 1 else 0 end) as a from (select doc_id, unnest(string_split(x, '')) as ch from n) where ch <> '' group by 1), t as (select doc_id, max(k) as m from (select doc_id, ch, count(*) as k from (select doc_id, unnest(string_split(x, '')) as ch from n) where ch <> '' group by all) group by 1), z as (select n.doc_id, lang, n_chars, coalesce(m * 1.0 / k > 0.7 or a * 1.0 / k < 0.1, true) as bad from n left join c using (doc_id) left join t using (doc_id))"
 
 
@@ -224,7 +228,7 @@ def _(s, d):
 def _check(name: str, column: str, sql: str):
     @query(name, f"with {fx.SHEET} select audio_id, option_no, {sql} as ok from cand")
     def run(s, d):
-        return filters.checks(_cand(s, d)).select("audio_id", "option_no", F.col(column).alias("ok"))
+        return filters.checks(_cand(s, d), with_outlier=False).select("audio_id", "option_no", F.col(column).alias("ok"))
 
 
 _low = "list_transform(t, lambda x: lower(x))"
@@ -238,12 +242,12 @@ _check("check_empty_tokens", "ok_empty_tokens", _EMPTY)
 
 @query("check_duration", f"with {fx.SHEET} select audio_id, option_no, {_DUR} as ok from cand")
 def _(s, d):
-    return filters.checks(_cand(s, d)).select("audio_id", "option_no", F.col("ok_duration").alias("ok"))
+    return filters.checks(_cand(s, d), with_outlier=False).select("audio_id", "option_no", F.col("ok_duration").alias("ok"))
 
 
 @query("check_rate", f"with {fx.SHEET} select audio_id, option_no, {_RATE} as ok from cand")
 def _(s, d):
-    return filters.checks(_cand(s, d)).select("audio_id", "option_no", F.col("ok_rate").alias("ok"))
+    return filters.checks(_cand(s, d), with_outlier=False).select("audio_id", "option_no", F.col("ok_rate").alias("ok"))
 
 
 _OUT = "m as (select audio_id, median(length(transcript)) as med, count(*) as n from cand group by 1)"
@@ -261,7 +265,7 @@ _REPOK = "case when len(t) <= 3 then true else k * 1.0 / len(t) <= 0.4 and coale
 
 @query("check_repetition", f"with {fx.SHEET}, {_REP} select c.audio_id, c.option_no, {_REPOK} as ok from cand c left join top using (audio_id, option_no) left join g5 using (audio_id, option_no)")
 def _(s, d):
-    return filters.checks(_cand(s, d)).select("audio_id", "option_no", F.col("ok_repetition").alias("ok"))
+    return filters.checks(_cand(s, d), with_outlier=False).select("audio_id", "option_no", F.col("ok_repetition").alias("ok"))
 
 
 @query("filter_candidates")
@@ -462,7 +466,7 @@ def _(s, d):
 @query("consistency", "with x as (select cast(user_id as varchar) as audio_id, (event_id % 16) / 64.0 as w from events) select audio_id, round(greatest(0, least(1, 1 - 20 * var_pop(w))), 6) as consistency from x group by 1")
 def _(s, d):
     rows = tables.table(s, d, "events").selectExpr("cast(user_id as string) as audio_id", "(event_id % 16) / 64.0D as w")
-    return rows.groupBy("audio_id").agg(F.round(clip01(1 - 20 * F.var_pop("w")), 6).alias("consistency"))
+    return rows.groupBy("audio_id").agg(F.round(similarity.consistency(F.var_pop("w")), 6).alias("consistency"))
 
 
 @query("tss")
@@ -551,7 +555,7 @@ def _(s, d):
 
 
 _Z = "0.5 * coalesce(aqs, 0) + 0.45 * coalesce(tss, 0) + 0.05 * coalesce(lgs, 0)"
-_FINAL = f"fs as (select audio_id, option_no, {_Z} as f from a full join t using (audio_id, option_no) full join g using (audio_id, option_no)), fr as (select audio_id, option_no, f, row_number() over (partition by audio_id order by round(f, 9) desc, option_no) as rank from fs)"
+_FINAL = f"fs as (select audio_id, option_no, {_Z} as f from a full join t using (audio_id, option_no) full join g using (audio_id, option_no)), fr as (select audio_id, option_no, f, row_number() over (partition by audio_id order by f desc, option_no) as rank from fs)"
 
 
 @query("final_score", f"with {fx.SCORES}, {_FINAL} select audio_id, option_no, round(f, 6) as final_score from fs")
@@ -559,14 +563,14 @@ def _(s, d):
     return ranking.final(*fx.scores(s, d)).select("audio_id", "option_no", *r6("final_score"))
 
 
-@query("final_ranking", f"with {fx.SCORES}, {_FINAL} select audio_id, option_no, round(f, 6) as final_score from fr where rank >= 1")
+@query("final_ranking", f"with {fx.SCORES}, {_FINAL} select audio_id, option_no, round(f, 6) as final_score, cast(rank as int) as rank from fr")
 def _(s, d):
-    return ranking.final(*fx.scores(s, d)).filter("rank >= 1").select("audio_id", "option_no", *r6("final_score"))
+    return ranking.final(*fx.scores(s, d)).select("audio_id", "option_no", *r6("final_score"), "rank")
 
 
-@query("final_ranking_strict", f"with {fx.SCORES} select audio_id, option_no, round({_Z}, 6) as final_score from a join t using (audio_id, option_no) join g using (audio_id, option_no)")
+@query("final_ranking_strict", f"with {fx.SCORES} select audio_id, option_no, round(f, 6) as final_score, cast(row_number() over w as int) as rank, row_number() over w = 1 as detected from (select audio_id, option_no, {_Z} as f from a join t using (audio_id, option_no) join g using (audio_id, option_no)) window w as (partition by audio_id order by f desc, option_no)")
 def _(s, d):
-    return ranking.final(*fx.scores(s, d), missing="strict").select("audio_id", "option_no", *r6("final_score"))
+    return ranking.final(*fx.scores(s, d), missing="strict").select("audio_id", "option_no", *r6("final_score"), "rank", (F.col("rank") == 1).alias("detected"))
 
 
 _CELLS = ", ".join(f"max(case when option_no = {n} then round({m}, 5) end) as option_{n}_{m}" for m in ("aqs", "tss", "lgs") for n in range(1, 6))
@@ -577,11 +581,13 @@ def _(s, d):
     return ranking.wide(ranking.final(*fx.scores(s, d)).drop("final_score")).drop("detected_option")
 
 
-@query("upsert_results")
+@query("upsert_results", f"with {fx.SHEET}, {fx.SCORES}, {_FINAL}, best as (select audio_id, option_no as detected, round(f, 5) as top from fr where rank = 1) select s.audio_id, s.option_1, s.option_5, s.correct_option, coalesce(detected, s.detected_option) as detected_option, top as option_score from sheet s left join best using (audio_id)")
 def _(s, d):
-    return ranking.upsert(fx.sheet(s, d), ranking.wide(ranking.final(*fx.scores(s, d))))
+    made = ranking.upsert(fx.sheet(s, d), ranking.wide(ranking.final(*fx.scores(s, d))))
+    top = F.array_max(F.array(*(F.col(f"option_{n}_final_score") for n in range(1, 6))))
+    return made.select("audio_id", "option_1", "option_5", "correct_option", "detected_option", top.alias("option_score"))
 
 
-@query("selection_accuracy")
+@query("selection_accuracy", f"with {fx.SCORES}, {_FINAL} select count(*) as n, avg(case when option_no = 1 then 1.0::double else 0 end) as accuracy from fr where rank = 1")
 def _(s, d):
     return ranking.accuracy(ranking.wide(ranking.final(*fx.scores(s, d))), fx.sheet(s, d))

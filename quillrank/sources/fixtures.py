@@ -61,26 +61,26 @@ place as (select audio_id, pos, token, count(*) as n, min(model_ix) as first fro
 
 
 def talk(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates from conversations: turn t below 5 is option t + 1. Turns beyond are other recordings' text."""
-    return _sql(spark, d, "select cast(conv_id as string) as audio_id, cast(turn + 1 as int) as option_no, text as transcript from {conversations} where turn < 5", "conversations")
+    """Candidates from conversations: each five turns in a row are the options of one recording."""
+    return _sql(spark, d, "select concat(conv_id, '-', turn div 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, text as transcript from {conversations}", "conversations")
 
 
 def talk_asr(spark: SparkSession, d: str) -> DataFrame:
-    """Three recognised versions of each conversation's first turn."""
+    """Three recognised versions of the first of each five turns."""
     return _sql(spark, d, rf"""
-        select cast(conv_id as string) as audio_id, m as model_ix,
+        select audio_id, m as model_ix,
                case m when 0 then array_join(filter(w, (x, i) -> (i + 1) % 11 <> 0), ' ') when 1 then if(conv_id % 13 = 0, '', array_join(transform(w, (x, i) -> if((i + 1) % 6 = 0, 'um', x)), ' ')) else array_join(w, ' ') end as text,
                -(conv_id % 20 + m) / 10.0D as confidence
-        from (select conv_id, {_WORDS} as w from {{conversations}} where turn = 0) lateral view explode(array(0, 1, 2)) t as m""", "conversations")
+        from (select conv_id, concat(conv_id, '-', turn div 5) as audio_id, {_WORDS} as w from {{conversations}} where turn % 5 = 0) lateral view explode(array(0, 1, 2)) t as m""", "conversations")
 
 
 #: Candidates and references in compared form; the sharp s is the one letter that stays outside ASCII and is one sign here.
 TALK = r"""
 norm as (select conv_id, turn, text, trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[!?.,:;''"()\[\]{}\-_+=/\\|]', ' ', 'g')), '\s+', ' ', 'g')) as t from conversations),
-hyp as (select cast(conv_id as varchar) as audio_id, cast(turn + 1 as int) as option_no, replace(t, 'ß', '~') as hyp from norm where turn < 5),
-rw as (select conv_id, list_filter(string_split_regex(text, '[ \t\n\r\f\v]+'), lambda x: x <> '') as w from conversations where turn = 0),
-rr as (select conv_id, cast(m as int) as ref_ix, case m when 0 then array_to_string(list_filter(w, lambda x, i: i % 11 <> 0), ' ') when 1 then case when conv_id % 13 = 0 then '' else array_to_string(list_transform(w, lambda x, i: case when i % 6 = 0 then 'um' else x end), ' ') end else array_to_string(w, ' ') end as text from rw, (select unnest([0, 1, 2]) as m)),
-ref as (select cast(conv_id as varchar) as audio_id, ref_ix, replace(trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[!?.,:;''"()\[\]{}\-_+=/\\|]', ' ', 'g')), '\s+', ' ', 'g')), 'ß', '~') as ref from rr where trim(text) <> ''),
+hyp as (select conv_id || '-' || (turn // 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, replace(t, 'ß', '~') as hyp from norm),
+rw as (select conv_id, conv_id || '-' || (turn // 5) as audio_id, list_filter(string_split_regex(text, '[ \t\n\r\f\v]+'), lambda x: x <> '') as w from conversations where turn % 5 = 0),
+rr as (select audio_id, cast(m as int) as ref_ix, case m when 0 then array_to_string(list_filter(w, lambda x, i: i % 11 <> 0), ' ') when 1 then case when conv_id % 13 = 0 then '' else array_to_string(list_transform(w, lambda x, i: case when i % 6 = 0 then 'um' else x end), ' ') end else array_to_string(w, ' ') end as text from rw, (select unnest([0, 1, 2]) as m)),
+ref as (select audio_id, ref_ix, replace(trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[!?.,:;''"()\[\]{}\-_+=/\\|]', ' ', 'g')), '\s+', ' ', 'g')), 'ß', '~') as ref from rr where trim(text) <> ''),
 pair as (select h.audio_id, option_no, ref_ix, hyp, ref from hyp h join ref r on h.audio_id = r.audio_id)
 """
 
@@ -149,7 +149,7 @@ g as (select cast(doc_id as varchar) as audio_id, option_no, cast(((doc_id + opt
 
 def logprobs(spark: SparkSession, d: str) -> DataFrame:
     """Made token log probabilities of conversation turns."""
-    return _sql(spark, d, r"select cast(conv_id as string) as audio_id, cast(turn + 1 as int) as option_no, pos, -(octet_length(tok) % 7) / 2.0D as lp from {conversations} lateral view posexplode(filter(split(text, '\\s+'), x -> x <> '')) t as pos, tok where turn < 5", "conversations")
+    return _sql(spark, d, r"select concat(conv_id, '-', turn div 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, pos, -(octet_length(tok) % 7) / 2.0D as lp from {conversations} lateral view posexplode(filter(split(text, '\\s+'), x -> x <> '')) t as pos, tok", "conversations")
 
 
-LOGPROBS = r"lp as (select cast(conv_id as varchar) as audio_id, cast(turn + 1 as int) as option_no, -(strlen(tok) % 7) / 2.0 as lp from (select conv_id, turn, unnest(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as tok from conversations where turn < 5))"
+LOGPROBS = r"lp as (select conv_id || '-' || (turn // 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, -(strlen(tok) % 7) / 2.0 as lp from (select conv_id, turn, unnest(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as tok from conversations))"

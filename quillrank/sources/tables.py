@@ -42,9 +42,12 @@ def candidates(sheet: DataFrame, keep_blank: bool = False) -> DataFrame:
 
 
 def lookup(sheet: DataFrame, audio_id: str) -> DataFrame:
-    """Options, correct option and language of the row with this id."""
+    """Options, correct option and language of the first row with this id; raises if there is none."""
     own = sheet.filter(F.trim(F.col(header(sheet.columns, "audio_id")).cast("string")) == audio_id.strip())
-    rest = own.select(F.col("audio_id").cast("string").alias("audio_id"), "language", F.expr("try_cast(correct_option as int)").alias("correct_option")).limit(1)
+    own = own.orderBy(F.monotonically_increasing_id()).limit(1)
+    if own.isEmpty():
+        raise KeyError(f"audio_id {audio_id!r} is not in the sheet")
+    rest = own.select(F.col("audio_id").cast("string").alias("audio_id"), "language", F.expr("try_cast(correct_option as int)").alias("correct_option"))
     return candidates(own, keep_blank=True).join(F.broadcast(rest), "audio_id")
 
 
@@ -59,8 +62,8 @@ def pending(sheet: DataFrame) -> DataFrame:
 
 
 def discover(files: DataFrame) -> DataFrame:
-    """audio_id of each file whose name is digits and .mp3 or .wav (from the binaryFile source)."""
-    name = F.regexp_extract("path", r"([0-9]+)\.(?:mp3|wav)$", 1)
+    """audio_id of each file whose whole name is digits and .mp3 (from the binaryFile source)."""
+    name = F.regexp_extract("path", r"(?:^|/)([0-9]+)\.mp3$", 1)
     return files.select(name.alias("audio_id"), "path").filter("audio_id <> ''").orderBy(F.col("audio_id").cast("long"))
 
 

@@ -13,16 +13,16 @@ def poll(spark: SparkSession, source: str, schema: str, results: str, checkpoint
 
     A batch's part is overwritten if the batch runs again after a failure, so results hold each row once. Rows whose id
     has a result already are left out by an anti join. every: a processing interval; without it, what is there is
-    processed and the stream ends.
+    processed and the stream ends. Of rows with one id in a batch, one is scored.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path(results)
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        rows = batch
+        rows = batch.dropDuplicates(["audio_id"])
         if fs.exists(path):
             done = spark.read.option("basePath", results).parquet(results).filter(f"batch <> {number}").select("audio_id")
-            rows = batch.join(done, "audio_id", "left_anti")
+            rows = rows.join(done, "audio_id", "left_anti")
         score(rows).write.mode("overwrite").parquet(f"{results}/batch={number}")
 
     stream = spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

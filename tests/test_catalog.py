@@ -13,7 +13,7 @@ from quillrank.operators import alignment, consensus, filters, linguistic, ranki
 from quillrank.plans.catalog import ORACLES, QUERIES
 
 D = "/root/testdata/sf0.001"
-NAMES = ["load_candidates", "pending_ids", "audio_metrics", "vad_gap_plan", "lang_ensemble", "normalize_cmp", "check_repetition", "consensus", "rss", "skipped_regions", "overlaps", "cer", "bag_confusion", "final_ranking", "results_wide"]
+NAMES = ["load_candidates", "pending_ids", "audio_metrics", "vad_gap_plan", "lang_ensemble", "normalize_cmp", "check_repetition", "consensus", "rss", "skipped_regions", "overlaps", "cer", "bag_confusion", "final_ranking", "final_ranking_strict", "selection_accuracy", "upsert_results", "discover_ids", "lang_best", "results_wide"]
 
 
 def rows(columns, data):
@@ -47,6 +47,29 @@ def test_word_error_edges(spark):
     assert one(spark, similarity.wer_uncapped(F.col("r"), F.col("h")), r="a", h="b c d e") == 4.0
 
 
+def test_word_error_of_very_many_words(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    w = lambda r, h: one(spark, similarity.wer(F.col("r"), F.col("h")), r=r, h=h)
+    assert w(" ".join(words), " ".join(words)) == 0.0
+    assert one(spark, similarity.wer_uncapped(F.col("r"), F.col("h")), r="a", h=" ".join(words)) == 60_000.0
+
+
+def test_discovery_takes_whole_names_only(spark):
+    paths = ["/a/12.mp3", "7.mp3", "/a/abc12.mp3", "/a/x-9.mp3", "/a/3.wav", "/a/9.mp3.txt"]
+    from quillrank.sources import tables
+
+    assert [r.audio_id for r in tables.discover(spark.createDataFrame([(p,) for p in paths], "path string")).collect()] == ["7", "12"]
+
+
+def test_lookup_takes_the_first_row_and_raises(spark):
+    from quillrank.sources import tables
+
+    sheet = spark.createDataFrame([("1", "fr", "a", 2), ("1", "en", "b", 1)], "audio_id string, language string, option_1 string, correct_option int").coalesce(1)
+    assert [tuple(r) for r in tables.lookup(sheet, "1").select("transcript", "language", "correct_option").collect()] == [("a", "fr", 2)]
+    with pytest.raises(KeyError):
+        tables.lookup(sheet, "5")
+
+
 def test_steps_are_cheapest():
     steps = sequences.steps("the cat sat on the mat".split(), "the cat sit on mat now".split())
     assert sum(op != "H" for op, *_ in steps) == 3
