@@ -11,6 +11,7 @@ from ..functions import sequences, text
 from ..operators import alignment, audio, consensus, filters, language, linguistic, ranking, similarity
 from ..sources import fixtures as fx
 from ..sources import tables
+from . import rows as pipeline_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -399,13 +400,37 @@ def _(s, d):
     return alignment.overlaps(fx.aligned(s, d))
 
 
-@query("punct_pause")
+_PP = """pr as (select audio_id, option_no, "end" as e, right(trim(word), 1) in ('?', '!', '.', ':') as punct, lead(start) over (partition by audio_id, option_no, seg_ix order by word_ix) as nx from timed),
+pg as (select *, greatest(0, nx - e) as gap from pr),
+pm as (select audio_id, option_no, coalesce(avg(gap) filter (punct and nx is not null), 0) as mp, coalesce(avg(gap) filter (not punct and nx is not null), 0.01) as mn, coalesce(avg(case when gap >= 0.4 then 1.0 else 0 end) filter (punct and nx is not null), 0) as cov, count(*) filter (punct and nx is not null) as ng, count(*) filter (punct) as np from pg group by 1, 2),
+pz as (select audio_id, e as at from (select audio_id, "end" as e, lead(start) over (partition by audio_id order by start, word_ix) as nx from al where start is not null) where nx - e >= 0.12),
+pn as (select audio_id, count(*) as ns from pz group by 1),
+hp as (select audio_id, option_no, count(*) as hit from pg where punct and exists (select 1 from pz where pz.audio_id = pg.audio_id and abs(pz.at - pg.e) <= 0.4) group by 1, 2),
+hr as (select k.audio_id, k.option_no, count(*) as hit from pm k join pz on k.audio_id = pz.audio_id where exists (select 1 from pg where pg.audio_id = k.audio_id and pg.option_no = k.option_no and pg.punct and abs(pz.at - pg.e) <= 0.4) group by 1, 2),
+pa as (select pm.audio_id, pm.option_no, np, coalesce(ns, 0) as ns, case when ng > 0 then 0.55 * greatest(0, least(1, (mp / (mn + 1e-6) - 1) / 3)) + 0.45 * cov else 0 end as a, coalesce(hp.hit, 0) * 1.0 / nullif(np, 0) as p, coalesce(hr.hit, 0) * 1.0 / nullif(ns, 0) as r
+  from pm left join pn using (audio_id) left join hp on hp.audio_id = pm.audio_id and hp.option_no = pm.option_no left join hr on hr.audio_id = pm.audio_id and hr.option_no = pm.option_no),
+pf as (select *, case when np > 0 and ns > 0 then case when p + r > 0 then 2 * p * r / (p + r) else 0 end else a end as f1, case when ns >= 3 and np >= 2 then 0.65 else 0.30 end as wt from pa),
+ppz as (select audio_id, option_no, a, f1, greatest(0, least(1, wt * f1 + (1 - wt) * a)) as pp_score, np as n_punct, ns as n_pauses from pf)"""
+
+
+@query("punct_pause", f"with {fx.ALIGNED}, {_PP} select audio_id, option_no, round(a, 6) as a, round(f1, 6) as f1, round(pp_score, 6) as pp_score, n_punct, n_pauses from ppz")
 def _(s, d):
     w = fx.aligned(s, d)
     return alignment.punct_pause(w, fx.word_pauses(w)).select("audio_id", "option_no", *r6("a", "f1", "pp_score"), "n_punct", "n_pauses")
 
 
-@query("aqs")
+_AQS = """wm as (select audio_id, option_no, avg(case when start is not null and "end" is not null then 1.0 else 0 end) as wr, coalesce(avg(score), 0) as cf, case when count(score) > 1 then stddev_pop(score) else 0 end as cs from al group by 1, 2),
+um as (select audio_id, option_no, avg(u) as u from (select audio_id, option_no, seg_ix, case when count(start) = 0 then 1.0 else 0 end as u from al group by 1, 2, 3) group by 1, 2),
+dm as (select audio_id, option_no, avg(d) as a, quantile_cont(d, 0.9) as p from dv group by 1, 2),
+nh as (select audio_id, option_no, count(*) as n from hl where reasons <> '' group by 1, 2),
+nk as (select audio_id, option_no, sum(duration) as d from sr group by 1, 2),
+no as (select audio_id, option_no, count(*) as n from ov group by 1, 2),
+aq as (select audio_id, option_no, 0.22 * wr + 0.15 * cf + 0.13 * cf + 0.10 * (1 - u) + 0.09 * greatest(0, least(1, 1 - coalesce(dm.a, 0) / 3)) + 0.06 * greatest(0, least(1, 1 - coalesce(dm.p, 0) / 3)) + 0.05 * greatest(0, least(1, 1 - cs / 0.25)) + 0.20 * coalesce(pp_score, 0)
+  - least(0.30, 0.05 * coalesce(nh.n, 0)) - least(0.30, 0.5 * coalesce(nk.d, 0) / (audio_duration + 1e-8)) - least(0.10, 0.01 * coalesce(no.n, 0)) as x
+  from wm join dur using (audio_id, option_no) join um using (audio_id, option_no) left join dm using (audio_id, option_no) left join ppz using (audio_id, option_no) left join nh using (audio_id, option_no) left join nk using (audio_id, option_no) left join no using (audio_id, option_no))"""
+
+
+@query("aqs", f"with {fx.ALIGNED}, {_DEV}, {_HALL}, {_SKIP}, {_OVER}, {_PP}, {_AQS} select audio_id, option_no, round(greatest(0, least(1, x)), 6) as aqs from aq")
 def _(s, d):
     w = fx.aligned(s, d)
     return alignment.option_quality(w, fx.segments(w), fx.durations(w), fx.word_pauses(w)).select("audio_id", "option_no", *r6("aqs"))
@@ -591,3 +616,33 @@ def _(s, d):
 @query("selection_accuracy", f"with {fx.SCORES}, {_FINAL} select count(*) as n, avg(case when option_no = 1 then 1.0::double else 0 end) as accuracy from fr where rank = 1")
 def _(s, d):
     return ranking.accuracy(ranking.wide(ranking.final(*fx.scores(s, d))), fx.sheet(s, d))
+
+
+# the whole chain from the sheet to the ranking, on scores that are computed
+
+
+def _scored(s, d, missing="zero"):
+    words = fx.talk_aligned(s, d)
+    pauses = fx.word_pauses(words.filter("option_no = 1"))
+    given = pipeline_rows.Outputs(fx.talk_asr(s, d), words, fx.segments(words), fx.durations(words), pauses, fx.logprobs(s, d))
+    return pipeline_rows.scored(fx.talk_sheet(s, d), given, missing=missing)
+
+
+@query("row_pipeline")
+def _(s, d):
+    return _scored(s, d).select("audio_id", "option_no", *r6("wer", "aqs", "cer", "tss", "lgs", "final_score"), "rank")
+
+
+@query("row_pipeline_strict")
+def _(s, d):
+    return _scored(s, d, "strict").select("audio_id", "option_no", *r6("wer", "aqs", "cer", "tss", "lgs", "final_score"), "rank", (F.col("rank") == 1).alias("detected"))
+
+
+@query("row_report")
+def _(s, d):
+    return pipeline_rows.report(_scored(s, d))
+
+
+@query("row_results")
+def _(s, d):
+    return pipeline_rows.results(fx.talk_sheet(s, d), _scored(s, d))

@@ -8,6 +8,7 @@ aligned words and `embeddings` samples.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _WORDS = r"filter(split(text, '[ \\t\\n\\r\\f\\x0B]+'), x -> x <> '')"
 
@@ -153,3 +154,19 @@ def logprobs(spark: SparkSession, d: str) -> DataFrame:
 
 
 LOGPROBS = r"lp as (select conv_id || '-' || (turn // 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, -(strlen(tok) % 7) / 2.0 as lp from (select conv_id, turn, unnest(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as tok from conversations))"
+
+
+def talk_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """The candidates of conversations as a wide sheet; recordings whose number ends in 3 have been decided before."""
+    rows = talk(spark, d)
+    cells = [F.max(F.when(F.col("option_no") == n, F.col("transcript"))).alias(f"option_{n}") for n in range(1, 6)]
+    old = F.when(F.col("audio_id").rlike("3-[0-9]+$"), 2)
+    return rows.groupBy("audio_id").agg(*cells).select("audio_id", *(f"option_{n}" for n in range(1, 6)), F.lit(1).alias("correct_option"), old.alias("detected_option"))
+
+
+def talk_aligned(spark: SparkSession, d: str) -> DataFrame:
+    """Aligned words of the same candidates: one segment an option, two words a second, every ninth word without times."""
+    return _sql(spark, d, r"""
+        select audio_id, option_no, 0 as seg_ix, pos + 1 as word_ix, word, if(lost, null, s0) as start, if(lost, null, e0) as end, if(lost, null, ((n * 7 + pos + option_no * 11) % 100) / 100.0D) as score, s0, e0, tail
+        from (select *, s0 + 0.125D + (n % 8) / 8.0D as e0 from (select *, pos * 0.5D + floor(pos / 10) * 3.0D + (n % 4) * 0.0625D as s0, (pos + option_no) % 9 = 4 as lost
+        from (select concat(conv_id, '-', turn div 5) as audio_id, cast(turn % 5 + 1 as int) as option_no, pos, word, octet_length(word) as n, conv_id % 4 as tail from {conversations} lateral view posexplode(filter(split(text, '\\s+'), x -> x <> '')) t as pos, word)))""", "conversations")

@@ -13,7 +13,7 @@ from quillrank.operators import alignment, consensus, filters, linguistic, ranki
 from quillrank.plans.catalog import ORACLES, QUERIES
 
 D = "/root/testdata/sf0.001"
-NAMES = ["load_candidates", "pending_ids", "audio_metrics", "vad_gap_plan", "lang_ensemble", "normalize_cmp", "check_repetition", "consensus", "rss", "skipped_regions", "overlaps", "cer", "bag_confusion", "final_ranking", "final_ranking_strict", "selection_accuracy", "upsert_results", "discover_ids", "lang_best", "results_wide"]
+NAMES = ["punct_pause", "aqs", "load_candidates", "pending_ids", "audio_metrics", "vad_gap_plan", "lang_ensemble", "normalize_cmp", "check_repetition", "consensus", "rss", "skipped_regions", "overlaps", "cer", "bag_confusion", "final_ranking", "final_ranking_strict", "selection_accuracy", "upsert_results", "discover_ids", "lang_best", "results_wide"]
 
 
 def rows(columns, data):
