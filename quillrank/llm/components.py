@@ -25,6 +25,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return found.filter("u != v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges (u, v), u > v, are stars already: a larger end has one edge alone, and is no smaller end of another.
+
+    Stars are what both operations leave as they are, so no further round is needed to see that nothing changes.
+    """
+    end = lambda c, up: edges.select(F.col(c).alias("node"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    ends = end("u", 1).unionByName(end("v", 0)).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.filter("up > 1 or up = 1 and down = 1").agg(F.count("*")).first()[0]
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """node, label for each node of links (a, b): label is the smallest node of its component.
 
@@ -32,17 +42,22 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     repeated links change nothing; nulls are ignored.
     """
     edges = common.written(links.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = lambda e: tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))).first())
-    last = mark(edges)
-    for _ in range(rounds):
-        if not last[0]:
+    for done in range(rounds + 1):
+        if _settled(edges):
             break
+        if done == rounds:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
         step = common.written(_star(_star(edges, True), False))
         common.drop_written(edges)
-        edges, now = step, mark(step)
-        if now == last:
-            break
-        last = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+        edges = step
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def grown(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (see components) after more links (a, b) came; the stars that labels are stand for all links before.
+
+    Without new links they are labels as they were. Both should be written tables.
+    """
+    if links.isEmpty():
+        return labels
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links))

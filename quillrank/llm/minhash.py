@@ -254,20 +254,19 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     texts = common.written(texts_of(df, nodes, classes))
     sigs = common.written(sigs.join(nodes, "node", "left_semi"))
-    links = common.written(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
+    labels = components.components(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
     for turn in range(1, LEADERS):
-        placed = common.written(labelled(members, components.components(links)))
+        placed = common.written(labelled(members, labels))
         h = F.xxhash64("node", "band", F.lit(turn))
         leads = placed.groupBy("band").agg(F.min(F.struct(h.alias("h"), "node", "label")).alias("a"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         leads = leads.filter("lo != hi").select("band", F.col("a.node").alias("a"), F.col("a.label").alias("la"))
         more = placed.join(leads, "band").filter("label != la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         more = common.written(more.join(stars, ["a", "b"], "left_anti"))
         stars = common.written(stars.unionByName(more))
-        links = common.written(links.unionByName(confirmed(alike(more, sigs, percent / 100), texts, k, percent)))
+        labels = components.grown(labels, common.written(confirmed(alike(more, sigs, percent / 100), texts, k, percent)))
 
-    placed = common.written(labelled(members, components.components(links)))
-    links = common.written(links.unionByName(across(placed, sigs, texts, k, percent)))
-    labels = components.components(links)
+    placed = common.written(labelled(members, labels))
+    labels = components.grown(labels, common.written(across(placed, sigs, texts, k, percent)))
 
     linked = labels.join(classes, "node")
     least = linked.groupBy("label").agg(F.min("rep").alias("component"))

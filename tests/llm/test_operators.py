@@ -550,3 +550,31 @@ def test_pipeline(spark):
 
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and set(out.columns) >= {"doc_id", "start", "length", "sequence_id", "offset"}
+
+
+def test_components_grow_as_if_all_links_came_at_once(spark):
+    import random
+
+    from quillrank.llm import components
+
+    draw = random.Random(5)
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 440)] + [(7, 7), (None, 3)]
+    frame = lambda p: spark.createDataFrame(p, "a long, b long")
+    plain = lambda df: {r.node: r.label for r in df.collect()}
+    root = {x: x for p in pairs if None not in p and p[0] != p[1] for x in p}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a in root and b in root:
+            lo, hi = sorted((top(a), top(b)))
+            root[hi] = lo
+    wanted = {x: top(x) for x in root}
+    assert plain(components.components(frame(pairs))) == wanted
+    first = components.components(frame(pairs[:120]))
+    assert plain(components.grown(first, frame(pairs[120:]))) == wanted
+    assert plain(components.grown(first, frame([]))) == plain(first)
+    assert plain(components.grown(components.components(frame([])), frame([(5, 2)]))) == {5: 2, 2: 2}
