@@ -20,9 +20,6 @@ BANDS, ROWS = 56, 7
 #: Texts in a block; places of a signature.
 BLOCK, PLACES = 256, BANDS * ROWS
 
-#: Leaders that a bucket's texts meet before its components are compared.
-LEADERS = 3
-
 
 def floor_of(least: float) -> float:
     """Share of equal places that a pair of the least similarity falls below once in three million."""
@@ -246,7 +243,7 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     sigs = real.select("node", "key", "sig").join(classes, "node").filter("key = rep").select("node", "sig").dropDuplicates(["node"])
 
     rows = real.select("node", F.posexplode("bands").alias("no", "band"))
-    # the leader of a bucket is its smallest node in an order of its own, so a large group meets many leaders
+    # the leader of a bucket is its smallest node in an order of its own, so a large group meets as many leaders as it has bands
     lead = F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node"))
     shared = rows.groupBy("band").agg(lead.alias("a"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("band", F.col("a.node").alias("a"))
     members = common.written(rows.join(shared, "band").select("band", "no", "a", "node").distinct())
@@ -255,16 +252,6 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     texts = common.written(texts_of(df, nodes, classes))
     sigs = common.written(sigs.join(nodes, "node", "left_semi"))
     labels = components.components(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
-    for turn in range(1, LEADERS):
-        placed = common.written(labelled(members, labels))
-        h = F.xxhash64("node", "band", F.lit(turn))
-        leads = placed.groupBy("band").agg(F.min(F.struct(h.alias("h"), "node", "label")).alias("a"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        leads = leads.filter("lo != hi").select("band", F.col("a.node").alias("a"), F.col("a.label").alias("la"))
-        more = placed.join(leads, "band").filter("label != la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        more = common.written(more.join(stars, ["a", "b"], "left_anti"))
-        stars = common.written(stars.unionByName(more))
-        labels = components.grown(labels, common.written(confirmed(alike(more, sigs, percent / 100), texts, k, percent)))
-
     placed = common.written(labelled(members, labels))
     labels = components.grown(labels, common.written(across(placed, sigs, texts, k, percent)))
 
