@@ -183,13 +183,13 @@ def across(placed: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent
 
 
 def classes_of(feats: DataFrame) -> DataFrame:
-    """node, rep, row, unlike: the smallest key of each class of equal sets, and a text that it stands with there.
+    """node, rep, row, sig, unlike: the smallest key of each class of equal sets, a text that it stands with there, and its signature.
 
     unlike: whether sets of one node differ in their second hash, so that they are not equal.
     """
-    least = F.min(F.struct("key", "row"))
+    least = F.min(F.struct("key", "row", "sig"))
     unlike = F.min("twin") != F.max("twin")
-    return feats.groupBy("node").agg(least.alias("x"), unlike.alias("unlike")).select("node", F.col("x.key").alias("rep"), F.col("x.row").alias("row"), "unlike")
+    return feats.groupBy("node").agg(least.alias("x"), unlike.alias("unlike")).select("node", F.col("x.key").alias("rep"), F.col("x.row").alias("row"), F.col("x.sig").alias("sig"), "unlike")
 
 
 def settled(feats: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +240,6 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """
     feats, classes = settled(common.written(features(df, k)))
     real = feats.filter("n_shingles > 0")
-    sigs = real.select("node", "key", "sig").join(classes, "node").filter("key = rep").select("node", "sig").dropDuplicates(["node"])
 
     rows = real.select("node", F.posexplode("bands").alias("no", "band"))
     # the leader of a bucket is its smallest node in an order of its own, so a large group meets as many leaders as it has bands
@@ -248,9 +247,9 @@ def near_classes(df: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     shared = rows.groupBy("band").agg(lead.alias("a"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("band", F.col("a.node").alias("a"))
     members = common.written(rows.join(shared, "band").select("band", "no", "a", "node").distinct())
     stars = common.written(members.filter("node != a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    nodes = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    nodes = common.written(stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct())
     texts = common.written(texts_of(df, nodes, classes))
-    sigs = common.written(sigs.join(nodes, "node", "left_semi"))
+    sigs = common.written(classes.select("node", "sig").join(nodes, "node", "left_semi"))
     labels = components.components(confirmed(alike(stars, sigs, percent / 100), texts, k, percent))
     placed = common.written(labelled(members, labels))
     labels = components.grown(labels, common.written(across(placed, sigs, texts, k, percent)))
