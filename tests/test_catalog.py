@@ -2,6 +2,8 @@
 
 import glob
 import os
+import random
+from difflib import SequenceMatcher
 
 import duckdb
 import pytest
@@ -82,6 +84,23 @@ def test_autojunk(spark):
     assert one(spark, sequences.ratio(False, True)("a", "b"), a=a, b=b) > 0.99
 
 
+def test_ratio_of_characters_is_that_of_difflib():
+    rnd = random.Random(3)
+    for _ in range(400):
+        a, b = ("".join(rnd.choices("ab c", k=rnd.randint(0, 60))) for _ in "ab")
+        for x, y in ((a, b), (a, b[:5] + a[7:] + b[5:]), (a * 2, a), (a, a)):
+            assert sequences.char_ratio(x, y) == sequences.char_ratio(x, y, deep=3) == sequences.char_ratio(x, y, most=0) == SequenceMatcher(None, x, y, autojunk=False).ratio()
+
+
+def test_tie_boost_takes_each_ratio_once_and_spreads(spark, monkeypatch):
+    rows = [(f"r{i}", n, f"{t} {i}", 0.5) for i in range(40) for n, t in enumerate(["one two three", "one two tree", "quite another", "one to three", "or else"], 1)]
+    made = linguistic.tie_boost(spark.createDataFrame(rows, "audio_id string, option_no int, transcript string, lgs double"))
+    assert made.select(F.spark_partition_id()).distinct().count() == 4  # small groups still use all partitions
+    assert {r.option_no for r in made.filter("tiebreak").collect()} >= {3, 5}
+    monkeypatch.setattr(linguistic, "SequenceMatcher", None, raising=False)  # no pair of texts is left to the slow matcher
+    assert linguistic.odd_one_out({1: "one two", 2: "one too", 3: "else"}) == 3
+
+
 def test_checks(spark):
     ok = lambda f, t: one(spark, f(text.words(F.col("t"))), t=t)
     assert not ok(filters.check_ttr, "yes yes yes yes yes yes") and ok(filters.check_ttr, "a a a")
