@@ -108,6 +108,13 @@ def test_checks(spark):
     assert ok(filters.check_repetition, "a b c") and not ok(filters.check_repetition, "a a a b c")
 
 
+def test_rate_bounds_belong_to_the_range(spark):
+    w = " ".join(["w"] * 140)
+    for n, k, ok in ((147, 1, True), (217, 2, True), (148, 1, False)):  # 140 of n words: 0.4 exactly, and less
+        seconds = n / (0.55 + k * 0.5)
+        assert one(spark, filters.check_rate(text.words(F.col("t")), F.lit("en"), F.col("s")), t=w, s=seconds) is ok
+
+
 def test_brackets_runs_and_clip(spark):
     n = lambda f, t: one(spark, f(F.col("t")), t=t)
     assert [n(linguistic.bracket_balance, t) for t in ("([)]", "don’t", "(a)", "")] == [2, 1, 0, 0]
