@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import clip01
@@ -51,6 +51,12 @@ def segment_confidence(words: DataFrame) -> DataFrame:
     return words.groupBy(*KEY, "seg_ix").agg(F.count("*").alias("n_words"), F.count("score").alias("n_scored"), F.avg("score").alias("mean_score"), F.min("score").alias("min_score"))
 
 
+def _mean_in_order(score: str = "score", place: str = "word_ix") -> Column:
+    """Mean of a segment's scores, added up word by word: at a threshold the last bit counts, and it depends on the order."""
+    own = F.array_sort(F.collect_list(F.when(F.col(score).isNotNull(), F.struct(place, score))))
+    return F.when(F.count(score) > 0, F.aggregate(own, F.lit(0.0), lambda a, x: a + x[score]) / F.count(score))
+
+
 def hallucinated(words: DataFrame, original: DataFrame, low: float = 0.35, cv: float = 0.20, edge: float = 0.15, share: float = 0.65) -> DataFrame:
     """Segments with low confidence, evenly spaced words, or words that crowd the segment's edges; with the reasons."""
     near = (F.abs(F.col("center") - F.col("o.start")) < edge) | (F.abs(F.col("center") - F.col("o.end")) < edge)
@@ -58,7 +64,7 @@ def hallucinated(words: DataFrame, original: DataFrame, low: float = 0.35, cv: f
     gaps = timed.withColumn("gap", F.col("center") - F.lag("center").over(Window.partitionBy(*KEY, "seg_ix").orderBy("center", "word_ix")))
     placed = gaps.alias("w").join(original.alias("o"), [*KEY, "seg_ix"])
     spread = placed.groupBy(*KEY, "seg_ix").agg(F.count("*").alias("n"), F.avg("gap").alias("g"), F.stddev_pop("gap").alias("s"), F.avg(near.cast("int")).alias("edge"))
-    scores = words.groupBy(*KEY, "seg_ix").agg(F.avg("score").alias("m")).join(original.select(*KEY, "seg_ix"), [*KEY, "seg_ix"])
+    scores = words.groupBy(*KEY, "seg_ix").agg(_mean_in_order().alias("m")).join(original.select(*KEY, "seg_ix"), [*KEY, "seg_ix"])
     rows = scores.join(spread, [*KEY, "seg_ix"], "left")
     why = F.concat_ws(",", F.when(F.col("m") < low, "low_confidence"), F.when((F.col("n") >= 3) & (F.col("g") > 0) & (F.col("s") / F.col("g") < cv), "uniform_spacing"), F.when(F.col("edge") >= share, "boundary_cluster"))
     return rows.select(*KEY, "seg_ix", why.alias("reasons")).filter("reasons <> ''")

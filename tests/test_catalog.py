@@ -134,6 +134,16 @@ def test_consensus_ties_go_to_the_first_model(spark):
     assert abs(agreed["x"] - 5 / 6) < 1e-12 and agreed["z"] is None
 
 
+def test_low_confidence_does_not_depend_on_the_order_of_rows(spark):
+    score = [0.67, 0.24, 0.26, 0.42, 0.03, 0.48]  # 0.35 on average; added up word by word 0.3499999999999999
+    rows = [("x", 1, 0, i, "w", 10.0 * i, 10.0 * i + 1, s) for i, s in enumerate(score)]
+    kind = "audio_id string, option_no int, seg_ix int, word_ix int, word string, start double, end double, score double"
+    span = spark.createDataFrame([("x", 1, 0, -9.0, 99.0)], "audio_id string, option_no int, seg_ix int, start double, end double")
+    for order in ((0, 1, 2, 3, 4, 5), (5, 4, 3, 2, 1, 0), (1, 3, 5, 0, 2, 4), (4, 1, 2, 3, 5, 0), (3, 5, 0, 1, 2, 4)):
+        made = alignment.hallucinated(spark.createDataFrame([rows[i] for i in order], kind).coalesce(1), span).collect()
+        assert ["low_confidence" in r.reasons for r in made] == [True]
+
+
 def test_regions_and_overlaps(spark):
     kind = "audio_id string, option_no int, seg_ix int, word_ix int, word string, start double, end double, score double"
     w = spark.createDataFrame([("x", 1, 0, i, "w", *t, 1.0) for i, t in enumerate([(0.0, 10.0), (1.0, 2.0), (5.0, 6.0)])] + [("y", 1, 0, 0, "w", None, None, None)], kind)
