@@ -108,6 +108,27 @@ def test_checks(spark):
     assert ok(filters.check_repetition, "a b c") and not ok(filters.check_repetition, "a a a b c")
 
 
+def test_checks_need_no_second_reading_and_repetition_counts_words(spark):
+    plan = QUERIES["filter_candidates"](spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2 and QUERIES["check_ttr"](spark, D)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    rnd = random.Random(5)
+
+    def plain(t):
+        top, grams = max(t.count(x) for x in t), [tuple(t[i : i + 5]) for i in range(len(t) - 4)] if len(t) >= 10 else []
+        return len(t) <= 3 or (top / len(t) <= 0.4 and max(map(grams.count, grams), default=0) < 3)
+
+    texts = [rnd.choices("abcdef"[: rnd.randint(1, 6)], k=rnd.randint(1, 30)) for _ in range(300)] + [list("abcdefgh") * 3, list("abcdefgh") * 2, list("aabcd"), list("aaaabbbccc"), list("aaaaabbbcc")]
+    made = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "i int, t string").select("i", filters.check_repetition(text.words(F.col("t"))).alias("ok")).collect()
+    assert {r.i: r.ok for r in made} == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def test_nested_limits_hold_their_value_once(spark):
+    df = spark.range(1).select((F.col("id") / 2).alias("x"))
+    nested = clip01(1 - clip01(1 - clip01(1 - linguistic.structural(F.col("x").cast("string")))))
+    assert df.select(nested.alias("y"))._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert [one(spark, clip01(F.col("x")), x=x) for x in (-1.0, 0.25, 7.0)] == [0.0, 0.25, 1.0]
+
+
 def test_rate_bounds_belong_to_the_range(spark):
     w = " ".join(["w"] * 140)
     for n, k, ok in ((147, 1, True), (217, 2, True), (148, 1, False)):  # 140 of n words: 0.4 exactly, and less
