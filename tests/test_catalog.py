@@ -129,6 +129,32 @@ def test_nested_limits_hold_their_value_once(spark):
     assert [one(spark, clip01(F.col("x")), x=x) for x in (-1.0, 0.25, 7.0)] == [0.0, 0.25, 1.0]
 
 
+def test_arrow_functions_get_small_batches(spark):
+    @text.small
+    @F.pandas_udf("long")
+    def rows_at_once(x):
+        return x * 0 + len(x)
+
+    @text.small
+    @F.pandas_udf("long")
+    def bytes_at_once(x):
+        return x.map(len) * 0 + int(x.map(len).sum())
+
+    names = list(text.BATCH)
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        assert spark.range(20_000, numPartitions=1).select(rows_at_once("id").alias("n")).agg(F.max("n")).first()[0] <= 1000
+        texts = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+        assert texts.select(bytes_at_once("t").alias("n")).agg(F.max("n")).first()[0] <= 3 << 20
+        spark.conf.set(names[1], "7")
+        text.nfkc(F.col("t"))
+        assert spark.conf.get(names[1]) == "7"
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 def test_rate_bounds_belong_to_the_range(spark):
     w = " ".join(["w"] * 140)
     for n, k, ok in ((147, 1, True), (217, 2, True), (148, 1, False)):  # 140 of n words: 0.4 exactly, and less
