@@ -14,8 +14,11 @@ KEY = ["audio_id", "option_no"]
 def pairs(candidates: DataFrame, refs: DataFrame) -> DataFrame:
     """Each option with each reference of its recording, compared forms side by side. Blank references are left out.
 
-    Texts are normalised once each, before the join.
+    Texts are normalised once each, before the join. They are few bytes and much work, so they are dealt out by recording
+    to the session's number of partitions, which the join and what groups by option keep.
     """
+    parts = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates, refs = candidates.repartition(parts, "audio_id"), refs.repartition(parts, "audio_id")
     hyp = candidates.select(*KEY, text.normalize_cmp(F.col("transcript")).alias("hyp"))
     ref = refs.filter(F.trim(F.coalesce("text", F.lit(""))) != "").select("audio_id", F.col("model_ix").alias("ref_ix"), text.normalize_cmp(F.col("text")).alias("ref"))
     return hyp.join(ref, "audio_id")
@@ -23,22 +26,22 @@ def pairs(candidates: DataFrame, refs: DataFrame) -> DataFrame:
 
 def wer(ref: Column, hyp: Column) -> Column:
     r, h = text.words(ref), text.words(hyp)
-    return F.when(F.size(r) == 0, 0.0).when(F.size(h) == 0, 1.0).otherwise(F.least(sequences.word_distance(r, h) / F.size(r), F.lit(1.0)))
+    return F.when(F.size(r) == 0, 0.0).when(F.size(h) == 0, 1.0).otherwise(F.least(sequences.word_distance(ref, hyp) / F.size(r), F.lit(1.0)))
 
 
 def cer(ref: Column, hyp: Column) -> Column:
     """Spaces count."""
-    return F.when(F.length(ref) == 0, 0.0).when(F.length(hyp) == 0, 1.0).otherwise(F.least(F.levenshtein(ref, hyp) / F.length(ref), F.lit(1.0)))
+    return F.when(F.length(ref) == 0, 0.0).when(F.length(hyp) == 0, 1.0).otherwise(F.least(sequences.char_distance(ref, hyp) / F.length(ref), F.lit(1.0)))
 
 
 def wer_uncapped(ref: Column, hyp: Column) -> Column:
     r, h = text.words(ref), text.words(hyp)
-    return F.when(F.size(r) == 0, 1.0).when(F.size(h) == 0, 1.0).otherwise(sequences.word_distance(r, h) / F.size(r))
+    return F.when(F.size(r) == 0, 1.0).when(F.size(h) == 0, 1.0).otherwise(sequences.word_distance(ref, hyp) / F.size(r))
 
 
 def cer_nospace(ref: Column, hyp: Column) -> Column:
     r, h = F.regexp_replace(ref, text.SPACE, ""), F.regexp_replace(hyp, text.SPACE, "")
-    return F.when(F.length(r) == 0, 1.0).otherwise(F.levenshtein(r, h) / F.length(r))
+    return F.when(F.length(r) == 0, 1.0).otherwise(sequences.char_distance(r, h) / F.length(r))
 
 
 def rates(frame: DataFrame, fuzzy: bool = True) -> DataFrame:

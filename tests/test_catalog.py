@@ -92,6 +92,29 @@ def test_ratio_of_characters_is_that_of_difflib():
             assert sequences.char_ratio(x, y) == sequences.char_ratio(x, y, deep=3) == sequences.char_ratio(x, y, most=0) == SequenceMatcher(None, x, y, autojunk=False).ratio()
 
 
+def test_distance_is_that_of_the_table_and_pairs_are_dealt_out(spark):
+    rnd = random.Random(4)
+
+    def plain(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return last[-1]
+
+    for _ in range(400):
+        a, b = (rnd.choices(["a", "bc", "é", "𝄞"], k=rnd.randint(0, 90)) for _ in "ab")
+        for x, y in ((a, b), (a, a[:5] + b[7:] + a[9:]), ("".join(a), "".join(b)), (a, a)):
+            assert sequences.distance(x, y) == sequences.distance(y, x, kept=0) == plain(x, y)
+        for x in (a, a * 5):
+            assert sequences.word_ratio(x, b * 4) == SequenceMatcher(None, x, b * 4).ratio()
+    made = QUERIES["tss"](spark, D)
+    assert made.select(F.spark_partition_id()).distinct().count() == 4  # one small file still uses all partitions
+    assert "levenshtein" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_tie_boost_takes_each_ratio_once_and_spreads(spark, monkeypatch):
     rows = [(f"r{i}", n, f"{t} {i}", 0.5) for i in range(40) for n, t in enumerate(["one two three", "one two tree", "quite another", "one to three", "or else"], 1)]
     made = linguistic.tie_boost(spark.createDataFrame(rows, "audio_id string, option_no int, transcript string, lgs double"))
