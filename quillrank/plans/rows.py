@@ -42,15 +42,13 @@ def scored(sheet: DataFrame, outputs: Outputs, weights: ranking.Weights = rankin
     named = tables.candidates(sheet).join(heard, "audio_id", "left_semi")
     quality = alignment.option_quality(outputs.words, outputs.segments, outputs.durations, outputs.pauses)
     quality = quality.select(*KEY, number(F.col("aqs")).alias("aqs")).filter("aqs is not null")
-    live = named.join(quality, KEY)
-
-    texts = live.select(*KEY, "transcript")
-    alike = similarity.tss(similarity.rates(similarity.pairs(texts, outputs.texts))).select(*KEY, "wer", "cer", "tss")
-    fluent = texts.join(linguistic.pppl(outputs.logprobs), KEY, "left")
+    alike = similarity.tss(similarity.rates(similarity.pairs(named, outputs.texts))).select(*KEY, "wer", "cer", "tss")
+    live = named.join(quality, KEY)  # stands in the plan once, as all metrics of alignment would be computed again
+    fluent = live.join(linguistic.pppl(outputs.logprobs), KEY, "left")
     fluent = fluent.withColumn("lgs", linguistic.lgs(linguistic.pppl_score(F.col("pppl")), linguistic.structural(F.col("transcript"))))
-    fluent = linguistic.tie_boost(fluent).select(*KEY, "lgs")
+    fluent = linguistic.tie_boost(fluent.select(*KEY, "transcript", "aqs", "lgs"))
 
-    rows = live.select(*KEY, "aqs").join(alike, KEY, "left").join(fluent, KEY, "left")
+    rows = fluent.select(*KEY, "aqs", "lgs").join(alike, KEY, "left")
     three = [number(F.col(c)) for c in ("aqs", "tss", "lgs")]
     score = ranking.blend(*(F.coalesce(c, F.lit(0.0)) for c in three), weights)
     if missing == "strict":

@@ -121,6 +121,12 @@ def test_policies_and_columns(spark):
         rows.scored(sheet, out, missing="none")
 
 
+def test_alignment_is_computed_once(spark):
+    made = rows.scored(fx.talk_sheet(spark, D), given(spark))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("percentile(") == 1
+    assert fx.talk_aligned(spark, D).select(F.spark_partition_id()).distinct().count() == 4
+
+
 def test_empty_tables(spark):
     sheet, out = small(spark, [])
     assert rows.scored(sheet.limit(0), out).count() == 0 and rows.scored(sheet, out).count() == 0
