@@ -43,24 +43,56 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _key(part: str) -> str:
+    """The name a part is remembered by: words without the space before them, as a plain split gives them; others after one."""
+    word = part[0] == " " and len(part) > 1 and not part[1].isspace() and not part[-1].isspace()
+    return part[1:] if word else " " + part
+
+
 class PartEncoder:
     """Encodes texts part by part and remembers the parts.
 
     value: what to keep of a part's ids (their number, or themselves); kind: its name. Words repeat, so most parts of a batch
-    are found in the worker's memory, which later tasks share, and only new ones go to the tokenizer, in one batch.
+    are found in the worker's memory, which later tasks share, and only new ones go to the tokenizer, in one batch. Where
+    every space of a text is a place to cut, a plain split gives its parts' names; only other texts are searched for places.
     """
 
     def __init__(self, path: str, value: Callable, kind: str):
         self.tokenizer, self.value = tokenizer(path), value
         self.known = common.kept((path, kind))
 
+    def _names(self, text: str, new: set[str]) -> list[str]:
+        """Names of the text's parts; those not known go to new."""
+        names = text.split(" ")
+        if len(names) == 1 or not (names[0] or " ")[-1].isspace():
+            names[0] = " " + names[0]
+            lost = set(names).difference(self.known)
+            if all(x and (x[0] == " " or not (x[0].isspace() or x[-1].isspace())) for x in lost):
+                new |= lost
+                return names
+        names = [_key(p) for p in _CUT.split(text)]
+        new.update(set(names).difference(self.known))
+        return names
+
     def __call__(self, texts: list[str]) -> Iterator[list]:
         """For each text, the values of its parts in order."""
-        known, parted = self.known, [_CUT.split(t) if t else [] for t in texts]
-        new, once = {p for parts in parted for p in parts if p not in known}, {}
+        known, found, late, lost, once = self.known, [], {}, set(), {}
+        for t in texts:
+            names = t.split(" ")
+            if t and (len(names) == 1 or not (names[0] or " ")[-1].isspace()):
+                names[0] = " " + names[0]
+                try:
+                    found.append(list(map(known.__getitem__, names)))
+                    continue
+                except KeyError:
+                    pass
+            if t:
+                late[len(found)] = self._names(t, lost)
+            found.append([])
+        new = {x[1:] if x[0] == " " else " " + x for x in lost}
 
         def keep(part: str, ids: list[int]) -> None:
-            (known if len(part) <= CACHE_PART_CHARS and len(known) < CACHE_PARTS else once)[part] = self.value(ids)
+            (known if len(part) <= CACHE_PART_CHARS and len(known) < CACHE_PARTS else once)[_key(part)] = self.value(ids)
 
         # new parts that start with a space and end without white space stand in runs, as they do in texts
         alone = [p for p in new if p[0] != " " or p[-1].isspace() or len(p) > CACHE_PART_CHARS]
@@ -74,9 +106,9 @@ class PartEncoder:
         for i in range(0, len(alone), 4096):
             for p, e in zip(alone[i : i + 4096], self.tokenizer.encode_batch_fast(alone[i : i + 4096], add_special_tokens=False)):
                 keep(p, e.ids)
-        if once:
-            return ([known[p] if p in known else once[p] for p in parts] for parts in parted)
-        return (list(map(known.__getitem__, parts)) for parts in parted)
+        for i, names in late.items():
+            found[i] = [known[x] if x in known else once[x] for x in names] if once else list(map(known.__getitem__, names))
+        return iter(found)
 
 
 def token_counts(df: DataFrame, *, limit: int = 512, tokenizer_file: str | None = None, batch_bytes: int = 2 << 20) -> DataFrame:

@@ -578,3 +578,24 @@ def test_components_grow_as_if_all_links_came_at_once(spark):
     assert plain(components.grown(first, frame(pairs[120:]))) == wanted
     assert plain(components.grown(first, frame([]))) == plain(first)
     assert plain(components.grown(components.components(frame([])), frame([(5, 2)]))) == {5: 2, 2: 2}
+
+
+def test_parts_of_plain_texts_need_no_search_and_give_the_ids_of_the_whole(monkeypatch):
+    import random
+
+    from quillrank.llm import tokens
+
+    path = tokens.tokenizer_path()
+    whole, rnd = tokens.tokenizer(path), random.Random(2)
+    atoms = ["foo", "bar", "\n", " ", "  ", "é", "x1", "<|endoftext|>", "don't", "\t", "中", "a" * 80, " foo", "."]
+    texts = ["".join(rnd.choices(atoms, k=rnd.randint(0, 14))) for _ in range(1500)] + ["foo\n", "foo\n bar", " foo bar", "foo  bar", "foo bar\n", "foo \nbar", " ", "\n"]
+    for most in (600_000, 5):
+        monkeypatch.setattr(tokens, "CACHE_PARTS", most)
+        encoder = tokens.PartEncoder(path, list, f"test {most}")
+        for _ in range(2):
+            for i in range(0, len(texts), 50):
+                for t, parts in zip(texts[i : i + 50], encoder(texts[i : i + 50])):
+                    assert sum(parts, []) == whole.encode(t, add_special_tokens=False).ids
+    monkeypatch.setattr(tokens, "_CUT", None)
+    for t in ("one two new", "one\ntwo three\nx"):
+        assert sum(next(tokens.PartEncoder(path, list, "plain")([t])), []) == whole.encode(t, add_special_tokens=False).ids
