@@ -51,10 +51,26 @@ def segment_confidence(words: DataFrame) -> DataFrame:
     return words.groupBy(*KEY, "seg_ix").agg(F.count("*").alias("n_words"), F.count("score").alias("n_scored"), F.avg("score").alias("mean_score"), F.min("score").alias("min_score"))
 
 
-def _mean_in_order(score: str = "score", place: str = "word_ix") -> Column:
-    """Mean of a segment's scores, added up word by word: at a threshold the last bit counts, and it depends on the order."""
-    own = F.array_sort(F.collect_list(F.when(F.col(score).isNotNull(), F.struct(place, score))))
-    return F.when(F.count(score) > 0, F.aggregate(own, F.lit(0.0), lambda a, x: a + x[score]) / F.count(score))
+def _in_order(value: str, *place: str) -> Column:
+    """The group's values by place: at a threshold the last bit counts, and it depends on the order of the steps."""
+    return F.transform(F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(*place, value)))), lambda x: x[value])
+
+
+def _mean(values: Column) -> Column:
+    """Mean of values added up one after another; null without any."""
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values))
+
+
+def _deviation(values: Column) -> Column:
+    """Population deviation by a running mean, step by step as the comparison SQL has it (Spark's own update rounds otherwise)."""
+
+    def step(a: Column, x: Column) -> Column:
+        n = a["n"] + 1
+        mean = a["mean"] + (x - a["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["square"] + (x - mean) * (x - a["mean"])).alias("square"))
+
+    none = F.struct(*(F.lit(0.0).alias(k) for k in ("n", "mean", "square")))
+    return F.when(F.size(values) > 0, F.aggregate(values, none, step, lambda a: F.sqrt(a["square"] / a["n"])))
 
 
 def hallucinated(words: DataFrame, original: DataFrame, low: float = 0.35, cv: float = 0.20, edge: float = 0.15, share: float = 0.65) -> DataFrame:
@@ -63,8 +79,9 @@ def hallucinated(words: DataFrame, original: DataFrame, low: float = 0.35, cv: f
     timed = words.filter(TIMED).withColumn("center", (F.col("start") + F.col("end")) / 2)
     gaps = timed.withColumn("gap", F.col("center") - F.lag("center").over(Window.partitionBy(*KEY, "seg_ix").orderBy("center", "word_ix")))
     placed = gaps.alias("w").join(original.alias("o"), [*KEY, "seg_ix"])
-    spread = placed.groupBy(*KEY, "seg_ix").agg(F.count("*").alias("n"), F.avg("gap").alias("g"), F.stddev_pop("gap").alias("s"), F.avg(near.cast("int")).alias("edge"))
-    scores = words.groupBy(*KEY, "seg_ix").agg(_mean_in_order().alias("m")).join(original.select(*KEY, "seg_ix"), [*KEY, "seg_ix"])
+    spread = placed.groupBy(*KEY, "seg_ix").agg(F.count("*").alias("n"), _in_order("gap", "center", "word_ix").alias("gaps"), F.avg(near.cast("int")).alias("edge"))
+    spread = spread.withColumns({"g": _mean(F.col("gaps")), "s": _deviation(F.col("gaps"))}).drop("gaps")
+    scores = words.groupBy(*KEY, "seg_ix").agg(_in_order("score", "word_ix").alias("m")).withColumn("m", _mean(F.col("m"))).join(original.select(*KEY, "seg_ix"), [*KEY, "seg_ix"])
     rows = scores.join(spread, [*KEY, "seg_ix"], "left")
     why = F.concat_ws(",", F.when(F.col("m") < low, "low_confidence"), F.when((F.col("n") >= 3) & (F.col("g") > 0) & (F.col("s") / F.col("g") < cv), "uniform_spacing"), F.when(F.col("edge") >= share, "boundary_cluster"))
     return rows.select(*KEY, "seg_ix", why.alias("reasons")).filter("reasons <> ''")

@@ -214,6 +214,21 @@ def test_low_confidence_does_not_depend_on_the_order_of_rows(spark):
         assert ["low_confidence" in r.reasons for r in made] == [True]
 
 
+def test_spacing_at_its_bound_is_that_of_the_sql(spark, tmp_path):
+    """Gaps whose deviation is a fifth of their mean: which side the last bit falls to depends on the steps of the variance."""
+    ids = {1: [48, 50, 54, 62, 70], 2: [49, 57, 65, 67, 71], 3: [48, 56, 64, 66, 70]}  # three more words have no times
+    events = [(e, f"2024-01-01 00:00:{i:02}", u, "view") for u, es in ids.items() for i, e in enumerate(es)]
+    events += [(90 + i, f"2024-01-01 00:00:{i:02}", u, "error") for u in ids for i in range(5, 8)]
+    made = spark.createDataFrame(events, "event_id long, ts string, user_id long, event_type string").selectExpr("event_id", "to_timestamp(ts) as ts", "user_id", "event_type")
+    made.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    for name in ("hallucinated_segments", "aqs"):
+        df, other = QUERIES[name](spark, str(tmp_path)), con.execute(ORACLES[name])
+        columns, data = [c[0] for c in other.description], other.fetchall()
+        assert len(data) == 3 and rows(df.columns, df.collect()) == rows(columns, data)
+
+
 def test_regions_and_overlaps(spark):
     kind = "audio_id string, option_no int, seg_ix int, word_ix int, word string, start double, end double, score double"
     w = spark.createDataFrame([("x", 1, 0, i, "w", *t, 1.0) for i, t in enumerate([(0.0, 10.0), (1.0, 2.0), (5.0, 6.0)])] + [("y", 1, 0, 0, "w", None, None, None)], kind)
